@@ -24,3 +24,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .langid import identify
 
     return identify(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import report
+
+    return report(_table(spark, sf_dir, "documents"))
