@@ -31,3 +31,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pii import report
 
     return report(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import assess
+
+    return assess(_table(spark, sf_dir, "documents"))
