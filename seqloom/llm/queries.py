@@ -38,3 +38,12 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import assess
 
     return assess(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .packing import pack
+
+    return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
