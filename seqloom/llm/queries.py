@@ -54,3 +54,27 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import mix
 
     return mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "passes", "draws")
+
+
+@_query
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .topk import search
+
+    vectors = _table(spark, sf_dir, "embeddings")
+    return search(vectors, vectors.where("vec_id % 100 = 0"), k=10)
+
+
+ORACLES["op3_top_k"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id
+  WHERE q.vec_id % 100 = 0
+), r AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
