@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .common import chunks, mix64, pick
 
-SAMPLE_ROWS = 2000  # the most rows that the estimates are made on
+SAMPLE_ROWS = 2000  # about so many rows the estimates are made on
 _SYMBOLS = str.maketrans("", "", "#*$%&|<>")
 
 
@@ -112,19 +112,20 @@ RULES = (
 BASE = ("short", "repeated")
 
 
-def plan(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS) -> list[tuple[str, float, float]]:
-    """(rule, mean cost, share rejected) in the order to run them, from at most ``sample_rows`` rows spread over the table.
+def plan(docs: DataFrame, id_col: str = "doc_id", text: str = "text", rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS) -> list[tuple[str, float, float]]:
+    """(rule, mean cost, share rejected) in the order to run them, from about ``sample_rows`` rows spread over the table.
 
     Costs are of each rule by itself on a fresh text. Rules that reject nothing come last, cheapest first; ties go by name.
     """
-    rows = pick(docs, text=text)
-    # a hash of the text picks the sample: the same rows on each run, whatever the partitions; equal texts count once or not at all
-    sample = rows.orderBy(F.xxhash64("text")).limit(sample_rows)
+    rows = pick(docs, id=id_col, text=text)
+    # a hash picks the sample: the same rows on each run, whatever the partitions, and each is measured where it is read
+    share = min(1.0, sample_rows / max(1, rows.count()))
+    sample = rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) < int(share * (1 << 30)))
 
     def measure(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cost, rejected, n = Counter(), Counter(), 0
         for b in it:
-            for x in b.column(0).to_pylist():
+            for x in b.column(1).to_pylist():
                 n += 1
                 for r in rules:
                     t = Text(x)
@@ -147,7 +148,7 @@ def assess(docs: DataFrame, id_col: str = "doc_id", text: str = "text", rules: t
     """
     rows = pick(docs, id=id_col, text=text)
     by = {r.name: r for r in rules}
-    order = [by[k] for k, *_ in plan(rows, "text", rules, sample_rows)]
+    order = [by[k] for k, *_ in plan(rows, "id", "text", rules, sample_rows)]
     kind = next(f.dataType.simpleString() for f in rows.schema.fields if f.name == "id")
     fields = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
