@@ -78,3 +78,10 @@ WITH v AS (
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
+
+
+@_query
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ngram_join import similar
+
+    return similar(_table(spark, sf_dir, "documents"), words=3, percent=90)
