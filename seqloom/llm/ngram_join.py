@@ -26,12 +26,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, discard, mix64, pick, store
+from .common import among, chunks, discard, mix64, pick, store
 from .graph import components
 
 WORDS, PERCENT = 5, 80
 BLOCK_SETS, BLOCK_GRAMS = 512, 400_000  # of one side of a task
-_BITS = 1 << 25  # of the filter that spares most texts a shuffle: 4 MB, whatever the input
 
 
 def shingles(text: str | None, n: int) -> np.ndarray:
@@ -88,28 +87,6 @@ def _profile(rows: DataFrame, n: int) -> DataFrame:
     return rows.mapInArrow(go, f"id {kind}, n long, d binary")
 
 
-def among(rows: DataFrame, ids: DataFrame, other: bool = False) -> DataFrame:
-    """The ``rows`` (id, ...) that may be among ``ids`` (id): all that are, and few others; with ``other``, the rest, which surely aren't.
-
-    A filter of a fixed size is broadcast, so that most rows need no shuffle to be told apart.
-    """
-    bit = F.pmod(F.xxhash64("id"), F.lit(_BITS))
-    bits = ids.select((bit + 1).alias("b")).groupBy(F.bitmap_bucket_number("b").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("m"))
-    mask = np.zeros(_BITS // 8 + 4096, np.uint8)
-    for r in bits.toLocalIterator():  # at most _BITS bits in all
-        at = (r["k"] - 1) * 4096
-        mask[at : at + 4096] |= np.frombuffer(bytes(r["m"]), np.uint8)
-    sent = rows.sparkSession.sparkContext.broadcast(mask)
-
-    def go(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in it:
-            k = b.column(b.num_columns - 1).to_numpy(zero_copy_only=False).astype(np.int64)
-            yield b.filter(pa.array((sent.value[k >> 3] >> (k & 7).astype(np.uint8) & 1).astype(bool) != other)).select(b.schema.names[:-1])
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    return rows.withColumn("_bit", bit).mapInArrow(go, schema)
-
-
 def _grams(rows: DataFrame, reps: DataFrame, copied: DataFrame, n: int, percent: int) -> DataFrame:
     """(id, n, lead, want, grams) of each class's representative. Only what may be a copy is shuffled, to be told apart."""
 

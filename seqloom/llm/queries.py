@@ -85,3 +85,10 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .ngram_join import similar
 
     return similar(_table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
+@_query
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_extract import extract
+
+    return extract(_table(spark, sf_dir, "pages"))
