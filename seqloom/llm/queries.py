@@ -92,3 +92,17 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .html_extract import extract
 
     return extract(_table(spark, sf_dir, "pages"))
+
+
+@_query
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .license_scan import report
+
+    return report(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lm_score import score
+
+    return score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels").where("quality = 1").select("doc_id"))
