@@ -178,3 +178,14 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang:
     rows = pick(docs, id=id_col, text=text, lang=lang)
     prototypes = learn(rows.where(~held_out(F.col("id"))), "text", "lang", dim, seed)
     return predict(rows, prototypes, dim=dim, seed=seed).select(F.col("id").alias(id_col), held_out(F.col("id")).alias("held_out"), "lang_pred", "score")
+
+
+def known(docs: DataFrame, min_score: float, id_col: str = "doc_id", text: str = "text", lang: str = "lang", dim: int = DIM, seed: int = SEED) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose language is identified with at least ``min_score``."""
+    names = docs.columns
+    flat = docs.toDF(*(f"_{i}" for i in range(len(names))))
+    rows = pick(docs, id=id_col, text=text, lang=lang)
+    prototypes = learn(rows.where(~held_out(F.col("id"))), "text", "lang", dim, seed)
+    whole = flat.select(F.struct(*flat.columns).alias("id"), F.col(f"_{names.index(text)}").alias("text"))
+    kept = predict(whole, prototypes, dim, seed).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score))
+    return kept.select("id.*").toDF(*names)

@@ -305,3 +305,23 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text: str = "text", words:
     named = classes.join(root, classes["rep"] == root["v"], "left").select("d", "n", F.coalesce("root", "rep").alias("c"))
     out = profile.join(named, ["d", "n"], "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("c", "id")).otherwise(F.col("id")).alias("component_id"))
+
+
+def distinct(docs: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs``, with all their columns, without those of a component's documents that haven't its least id.
+
+    Of rows that share an id one stays, the least by its text's hash; rows with a null id all stay. Only rows that may
+    have to go are shuffled.
+    """
+    names = docs.columns
+    flat = docs.toDF(*(f"_{i}" for i in range(len(names))))
+    found = store(similar(docs, id_col, text, words, percent).select(F.col(id_col).alias("id"), "component_id"), "similar")
+    gone = found.where("component_id <> id").select("id").distinct()
+    twice = found.groupBy("id").count().where("count > 1 and id is not null").select("id")
+    keyed = flat.select(F.col(f"_{names.index(id_col)}").cast("long").alias("id"), F.struct(*flat.columns).alias("row"))
+    doubtful = gone.unionByName(twice)
+    sure = among(keyed, doubtful, other=True)
+    maybe = among(keyed, doubtful).join(gone, "id", "left_anti")
+    alone = maybe.join(twice, "id", "left_anti")
+    one = maybe.join(twice, "id", "left_semi").groupBy("id").agg(F.min_by("row", F.xxhash64(f"row._{names.index(text)}")).alias("row"))
+    return sure.unionByName(alone).unionByName(one).select("row.*").toDF(*names)
