@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -60,10 +60,11 @@ def discard(*tables: DataFrame) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def among(rows: DataFrame, ids: DataFrame, other: bool = False) -> DataFrame:
+def among(rows: DataFrame, ids: DataFrame, other: bool = False, then: Callable[[Iterator], Iterator] | None = None, schema: str | None = None) -> DataFrame:
     """The ``rows`` (id, ...) that may be among ``ids`` (id): all that are, and few others; with ``other``, the rest, which surely aren't.
 
-    A filter of a fixed size is broadcast, so that most rows need no shuffle to be told apart.
+    A filter of a fixed size is broadcast, so that most rows need no shuffle to be told apart. What is left goes through
+    ``then``, which gives batches of ``schema``, in the same Python worker.
     """
     bit = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
     bits = ids.select((bit + 1).alias("b")).groupBy(F.bitmap_bucket_number("b").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("m"))
@@ -73,13 +74,17 @@ def among(rows: DataFrame, ids: DataFrame, other: bool = False) -> DataFrame:
         mask[at : at + 4096] |= np.frombuffer(bytes(r["m"]), np.uint8)
     sent = rows.sparkSession.sparkContext.broadcast(mask)
 
-    def go(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def passed(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
             k = b.column(b.num_columns - 1).to_numpy(zero_copy_only=False).astype(np.int64)
-            yield b.filter(pa.array((sent.value[k >> 3] >> (k & 7).astype(np.uint8) & 1).astype(bool) != other)).select(b.schema.names[:-1])
+            keep = (sent.value[k >> 3] >> (k & 7).astype(np.uint8) & 1).astype(bool) != other
+            if keep.any():
+                yield b.filter(pa.array(keep)).select(b.schema.names[:-1])
+
+    def go(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return then(passed(it)) if then else passed(it)
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    return rows.withColumn("_bit", bit).mapInArrow(go, schema)
+    return rows.withColumn("_bit", bit).mapInArrow(go, schema or ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields))
 
 
 def n_words(text: Column) -> Column:

@@ -102,8 +102,8 @@ def _grams(rows: DataFrame, reps: DataFrame, copied: DataFrame, n: int, percent:
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary() if k == 4 else pa.int64()) for k, x in enumerate(out)], ["id", "n", "lead", "want", "grams"])
 
     schema = "id long, n long, lead long, want long, grams binary"
-    sure = among(rows, copied, other=True).mapInArrow(go, schema)
-    maybe = among(rows, copied).mapInArrow(go, schema).join(reps.select("id"), "id", "left_semi")
+    sure = among(rows, copied, True, go, schema)
+    maybe = among(rows, copied, False, go, schema).join(reps.select("id"), "id", "left_semi")
     return sure.unionByName(maybe)
 
 
@@ -257,7 +257,7 @@ def _links(rows: DataFrame, reps: DataFrame, bundles: DataFrame, n: int, percent
             made = [shingles(t, n).tobytes() for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(made, pa.binary())], ["id", "s"])
 
-    got = among(rows, member.select("id")).mapInArrow(sets, "id long, s binary").dropDuplicates(["id"]).join(member, "id")
+    got = among(rows, member.select("id"), False, sets, "id long, s binary").dropDuplicates(["id"]).join(member, "id")
     # the unit of blocks i <= j: block i is in the tree, block j probes it
     unit = got.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("root", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "block", "id", "s")
     parts = max(8, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
