@@ -91,8 +91,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str
     if goal.limit(MAX_SOURCES + 1).count() > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
 
-    # blocks are dealt by a hash, so no task sees more of a source than a block; sources are few or small: one side is broadcast only if Spark finds it small
-    info = goal.select("k", "blocks", "rest", "source_size", "target", "whole")
+    # blocks are dealt by a hash, so no task sees more of a source than a block. Tables of a row for each source are
+    # broadcast: MAX_SOURCES, checked above, bounds them, and a join by source would gather a large source in one task
+    info = F.broadcast(goal.select("k", "blocks", "rest", "source_size", "target", "whole"))
     dealt = size.withColumn("k", key).join(info, "k").withColumn("block", F.pmod(_u(F.col("id"), F.col("_h"), seed=seed), F.col("blocks")))
     dealt = dealt.withColumn("order", _u(F.col("id"), F.col("_h"), seed=seed + 1))
     # the last pass takes blocks in the order of their permuted numbers, while they fit the rest; of the block that doesn't fit, documents
@@ -113,10 +114,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str
     found = {r["k"]: r["q"] for r in quota.collect()}
     ends = _ends(split(found, shards, seed))
     shard_of = docs.sparkSession.sql("select inline(from_json('" + json.dumps(ends).replace("\\", "\\\\").replace("'", "\\'") + "', 'array<struct<k:string,ends:array<bigint>>>'))")
-    at = at.join(shard_of, "k", "left")
+    at = at.join(F.broadcast(shard_of), "k", "left")
     # a draw's number in its source: passes in turn, blocks by their permuted number in each
     number = lambda p: (p * F.col("blocks") + F.pmod(F.col("turn") + p * 7919, F.col("blocks"))).cast("long")
-    at = at.join(goal.select("k", "blocks"), "k")
+    at = at.join(F.broadcast(goal.select("k", "blocks")), "k")
     draws = F.transform(
         F.when(F.col("whole") + F.col("extra") > 0, F.sequence(F.lit(0), (F.col("whole") + F.col("extra") - 1).cast("int"))).otherwise(F.expr("cast(array() as array<int>)")),
         lambda p: F.struct(F.size(F.filter("ends", lambda e: e <= number(p))).alias("shard"), F.xxhash64(F.lit(seed + 3), F.col("id"), F.col("_h"), p).alias("position")),
@@ -126,15 +127,18 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str
 
 
 def _fill(at: DataFrame, seed: int) -> DataFrame:
-    """Documents that still fit what the last pass leaves of the target; one at a time for each source, the nearest first."""
+    """Documents that still fit what the last pass leaves of the target; one at a time for each source, the nearest first.
+
+    What is broadcast has a row for each source.
+    """
     for _ in range(FILL_ROUNDS):
         gap = at.groupBy("k").agg((F.max("rest") - F.sum(F.col("size") * F.col("extra"))).alias("gap"))
-        free = at.where("extra = 0 and size > 0").join(gap, "k")
+        free = at.where("extra = 0 and size > 0").join(F.broadcast(gap), "k")
         # a partial minimum for each task: no task sees all of a source
         better = free.where(F.abs(F.col("gap") - F.col("size")) < F.abs("gap")).groupBy("k").agg(F.min(F.struct(F.abs(F.col("gap") - F.col("size")).alias("d"), "order", "id", "_h")).alias("m"))
         better = better.select("k", F.col("m.order").alias("_o"), F.col("m.id").alias("_i"), F.col("m._h").alias("_x"))
         hit = F.col("order").eqNullSafe(F.col("_o")) & F.col("id").eqNullSafe(F.col("_i")) & F.col("_h").eqNullSafe(F.col("_x"))
-        at = at.join(better, "k", "left").withColumn("extra", F.when(F.col("_o").isNotNull() & hit, 1).otherwise(F.col("extra"))).drop("_o", "_i", "_x")
+        at = at.join(F.broadcast(better), "k", "left").withColumn("extra", F.when(F.col("_o").isNotNull() & hit, 1).otherwise(F.col("extra"))).drop("_o", "_i", "_x")
     return store(at, "filled")
 
 
