@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from ..operators import filters, genotype, intervals, pileup
+from ..operators import errors, filters, genotype, gvcf, indels, intervals, pileup, regions, sketch, somatic
 from .reads import SQL, reads, reference
 from .registry import query
 
@@ -176,3 +176,156 @@ def gvcf_runs_exact(spark, d):
     depth = _pile(spark, d).groupBy("contig_id", "pos").agg(F.sum("depth").alias("depth"))
     return intervals.islands(depth.withColumn("level", F.least(F.floor(F.col("depth") / 8), F.lit(3))), ["contig_id", "level"])
 
+
+
+@query(
+    "indel_support",
+    f"""WITH {SQL}, o AS (SELECT contig_id, pos + 40 AS pos, 0 AS del_len, substr(seq, 41, 2) AS ins_seq, doc_id * 100000 + i AS read_id FROM reads WHERE kind = 0
+UNION ALL SELECT contig_id, pos + 50, 3, '', doc_id * 100000 + i FROM reads WHERE kind = 1)
+SELECT contig_id, pos, del_len, ins_seq, count(DISTINCT read_id) AS reads FROM o GROUP BY 1, 2, 3, 4""",
+)
+def indel_support(spark, d):
+    return indels.support(indels.observations(reads(spark, d)))
+
+
+@query(
+    "active_regions",
+    f"""WITH {SQL}, s AS (SELECT contig_id, pos, CAST(sum(fwd_alt + rev_alt) AS BIGINT) AS v, CAST(sum(depth) AS BIGINT) AS d FROM pile GROUP BY 1, 2),
+c AS (SELECT * FROM s WHERE v > 0 AND ((v >= 9 AND v >= 1.15 * d) OR v >= 1.3 * d)),
+n AS (SELECT *, CASE WHEN pos - lag(pos) OVER (PARTITION BY contig_id ORDER BY pos) <= 13 THEN 0 ELSE 1 END AS n FROM c),
+g AS (SELECT *, sum(n) OVER (PARTITION BY contig_id ORDER BY pos) AS g FROM n)
+SELECT contig_id, min(pos) AS "begin", max(pos) AS "end", count(*) AS sites FROM g GROUP BY contig_id, g HAVING count(*) >= 2""",
+)
+def active_regions(spark, d):
+    s = _pile(spark, d).groupBy("contig_id", "pos").agg(F.sum(F.col("fwd_alt") + F.col("rev_alt")).alias("variants"), F.sum("depth").alias("depth"))
+    return regions.active_regions(s, low=1.15, high=1.3)
+
+
+@query(
+    "window_noise",
+    f"""WITH {SQL}, s AS (SELECT contig_id, p AS pos, count(*) FILTER (q < 17) AS f, count(*) FILTER (q >= 17) AS u FROM bases GROUP BY 1, 2),
+w AS (SELECT contig_id, pos, floor(avg(f) OVER x) AS f, floor(avg(u) OVER x) AS u FROM s WINDOW x AS (PARTITION BY contig_id ORDER BY pos RANGE BETWEEN 50 PRECEDING AND 50 FOLLOWING))
+SELECT contig_id, pos, round(coalesce(f / nullif(f + u, 0), 0), 9) AS noise FROM w""",
+)
+def window_noise(spark, d):
+    b = pileup.base_calls(reads(spark, d)).where("op = 'M'")
+    s = b.groupBy("contig_id", "pos").agg(F.count_if(F.col("q") < 17).alias("filtered"), F.count_if(F.col("q") >= 17).alias("used"))
+    return somatic.window_noise(s).select("contig_id", "pos", F.round("noise", 9).alias("noise"))
+
+
+@query(
+    "callable_regions",
+    f"""WITH {SQL}, s AS (SELECT contig_id, p AS pos, count(*) FILTER (q >= 17) AS u FROM bases GROUP BY 1, 2),
+g AS (SELECT contig_id, pos, pos - row_number() OVER (PARTITION BY contig_id ORDER BY pos) AS g FROM s WHERE u >= 15)
+SELECT contig_id, min(pos) - 1 AS "begin", max(pos) AS "end" FROM g GROUP BY contig_id, g""",
+)
+def callable_regions(spark, d):
+    b = pileup.base_calls(reads(spark, d)).where("op = 'M'")
+    return somatic.callable_regions(b.groupBy("contig_id", "pos").agg(F.count_if(F.col("q") >= 17).alias("used")), 15)
+
+
+def _fraction_sql(r: float) -> str:
+    return f"round(sum(CASE WHEN base = 'A' THEN ln((1 - e) * {r} + e / 3 * {1 - r}) ELSE ln((1 - e) * {1 - r} + e / 3 * {r}) END), 9)"
+
+
+@query(
+    "fraction_likelihoods",
+    f"WITH {SQL}, c AS (SELECT contig_id, p AS pos, CASE WHEN read_id // 100000 % 2 = 0 THEN 'normal' ELSE 'tumour' END AS sample, base, pow(10, -q / 10.0) AS e FROM bases WHERE q >= 17) "
+    f"SELECT contig_id, pos, sample, count(*) AS n, round({_fraction_sql(0.5)}, 3) AS het, round({_fraction_sql(0.05)}, 3) AS low FROM c GROUP BY 1, 2, 3",
+)
+def fraction_likelihoods(spark, d):
+    b = pileup.base_calls(reads(spark, d)).where("op = 'M' and q >= 17").withColumn("alt", F.lit("A"))
+    b = b.withColumn("sample", F.when(F.floor(F.col("read_id") / 100_000) % 2 == 0, "normal").otherwise("tumour"))
+    l = somatic.fraction_likelihoods(b, ["contig_id", "pos"])
+    at = somatic.FRACTIONS.index
+    return l.select("contig_id", "pos", "sample", "n", F.round(F.get("lhood", at(0.5)), 3).alias("het"), F.round(F.get("lhood", at(0.05)), 3).alias("low"))
+
+
+@query("somatic_sites")
+def somatic_sites(spark, d):
+    """Scores of every site at which both samples have calls; the posterior is numeric code, tested by itself."""
+    b = pileup.base_calls(reads(spark, d)).where("op = 'M' and q >= 17").withColumn("alt", F.lit("A"))
+    b = b.withColumn("sample", F.when(F.floor(F.col("read_id") / 100_000) % 2 == 0, "normal").otherwise("tumour"))
+    return somatic.score_sites(somatic.pair_samples(somatic.fraction_likelihoods(b, ["contig_id", "pos"]), ["contig_id", "pos"]), ["contig_id", "pos"])
+
+
+@query(
+    "snv_error_counts",
+    f"""WITH {SQL}, c AS (SELECT b.contig_id, b.p AS pos, base, q, q < 6 AS f FROM bases b), s AS (SELECT contig_id, pos FROM c GROUP BY 1, 2 HAVING avg(CAST(f AS INT)) < 0.05)
+SELECT q, count(*) FILTER (base = ref) AS ref_n, count(*) FILTER (base <> ref) AS alt_n FROM c JOIN s USING (contig_id, pos) JOIN ref USING (contig_id, pos) WHERE NOT f AND q >= 25 GROUP BY q""",
+)
+def snv_error_counts(spark, d):
+    b = pileup.base_calls(reads(spark, d)).where("op = 'M'").withColumn("filtered", F.col("q") < 6)
+    return errors.snv_error_counts(b, reference(spark))
+
+
+@query(
+    "homopolymer_runs",
+    "WITH r AS (SELECT doc_id AS contig_id, unnest(range(1, length(s) + 1)) AS pos, s FROM (SELECT doc_id, translate(regexp_replace(lower(coalesce(text, '')), '[^a-z]', '', 'g'), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC') AS s FROM documents)), "
+    "b AS (SELECT contig_id, pos, substr(s, CAST(pos AS INT), 1) AS base FROM r), g AS (SELECT *, pos - row_number() OVER (PARTITION BY contig_id, base ORDER BY pos) AS g FROM b), "
+    "h AS (SELECT contig_id, base, count(*) AS length FROM g GROUP BY contig_id, base, g) SELECT base, length, count(*) AS n FROM h GROUP BY 1, 2",
+)
+def homopolymer_runs(spark, d):
+    from .reads import BASES, LETTERS
+    from .registry import table
+
+    s = F.translate(F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), "[^a-z]", ""), LETTERS, BASES)
+    bases = table(spark, d, "documents").select(F.col("doc_id").alias("contig_id"), F.posexplode(F.split(s, "")).alias("pos", "base")).where("base <> ''")
+    return regions.homopolymers(bases).groupBy("base", "length").agg(F.count("*").alias("n"))
+
+
+@query(
+    "gram_seed_join",
+    """WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '') AS w FROM documents),
+b AS (SELECT item_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '') AS w FROM benchmark),
+q AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) AS gram FROM w WHERE len(w) >= 5),
+x AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) AS gram FROM b WHERE len(w) >= 5),
+k AS (SELECT gram FROM x GROUP BY gram HAVING count(*) <= 3)
+SELECT doc_id, item_id, count(*) AS shared FROM q JOIN x USING (gram) JOIN k USING (gram) GROUP BY 1, 2""",
+)
+def gram_seed_join(spark, d):
+    from .registry import table
+
+    q = sketch.word_ngrams(table(spark, d, "documents"), "doc_id", "text", 5).withColumnRenamed("id", "doc_id")
+    x = sketch.word_ngrams(table(spark, d, "benchmark"), "item_id", "text", 5).withColumnRenamed("id", "item_id")
+    return sketch.seed_join(q, x, "gram", 3).groupBy("doc_id", "item_id").agg(F.count("*").alias("shared"))
+
+
+@query("occurrence_threshold", "WITH w AS (SELECT l_partkey AS k, count(*) AS n FROM lineitem GROUP BY 1) SELECT CAST(quantile_disc(n, 0.98) + 1 AS BIGINT) AS \"limit\" FROM w")
+def occurrence_threshold(spark, d):
+    from .registry import table
+
+    return sketch.occurrence_threshold(table(spark, d, "lineitem"), 0.02, "l_partkey")
+
+
+@query("minimizer_sketch")
+def minimizer_sketch(spark, d):
+    """Minimizers of all derived reads, with the statistics of their index; tested against brute force."""
+    return sketch.index_stats(sketch.sketch(reads(spark, d), "read_id", "seq", 15, 10), "hash")
+
+
+@query("gvcf_blocks")
+def gvcf_blocks(spark, d):
+    """Blocks of similar sites with tolerance: order-dependent, tested against a sequential form."""
+    p = _pile(spark, d)
+    s = p.groupBy("contig_id", "segment_id", "pos").agg(F.sum("depth").alias("dp"), F.sum(F.col("fwd_total") + F.col("rev_total") - F.col("depth")).alias("dpf"))
+    s = s.withColumns({"gqx": F.lit(None).cast("double"), "filters": F.lit(""), "gt": F.lit("0/0"), "ploidy": F.lit(2), "covered": F.col("dp") + F.col("dpf") > 0, "used_covered": F.col("dp") > 0})
+    return gvcf.blocks(s)
+
+
+@query("session_windows")
+def session_windows(spark, d):
+    """The batch form of the streaming sessions."""
+    from ..streaming import streams
+    from .registry import table
+
+    return streams.sessions(table(spark, d, "events"), "ts", "3 hours", ["user_id"], [F.count("*").alias("n"), F.round(F.sum("value"), 6).alias("value")])
+
+
+@query("tumbling_windows", "SELECT time_bucket(INTERVAL '1 day', ts) AS start, time_bucket(INTERVAL '1 day', ts) + INTERVAL '1 day' AS \"end\", event_type, count(*) AS n FROM events GROUP BY 1, 2, 3")
+def tumbling_windows(spark, d):
+    from ..streaming import streams
+    from .registry import table
+
+    w = streams.tumbling(table(spark, d, "events"), "ts", "1 day", ["event_type"], [F.count("*").alias("n")])
+    return w.withColumns({"start": F.col("start").cast("timestamp_ntz"), "end": F.col("end").cast("timestamp_ntz")})
