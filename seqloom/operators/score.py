@@ -93,9 +93,9 @@ def forest_trees(model) -> list[list[tuple]]:
         return at
 
     result = []
-    for t in model._call_java("trees"):
+    for t in model.trees:
         nodes: list = []
-        walk(t._java_obj.rootNode() if hasattr(t, "_java_obj") else t.rootNode(), nodes)
+        walk(t._java_obj.rootNode(), nodes)
         result.append(nodes)
     return result
 
