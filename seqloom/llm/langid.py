@@ -77,6 +77,7 @@ class Encoder:
         of = np.repeat(group, [len((t or "").lower()) + 1 for t in texts])
         a = np.concatenate([[0], a, [0]])
         keep = (a != 0) | (np.roll(a, 1) != 0)  # of a run of other characters, one
+        keep[0] = True
         a, of = a[keep], np.concatenate([of[:1], of])[keep[: len(of) + 1]]
         if len(a) < N:
             return (np.empty(0, np.int64),) * 3
