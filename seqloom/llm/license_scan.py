@@ -72,8 +72,8 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
 #: Words that propose a block, and words that tell one license from another: a difference in one of these is never accepted.
 TRIGGER = re.compile(r"licen[cs]|copyright|redistribut|unencumbered|all rights reserved|permission (?:is|to)\b|public domain|creative commons|waived all", re.I)
 TELLING = frozenset("apache mit bsd gnu lesser affero mozilla mpl creative commons cc by nc sa nd sharealike noncommercial noderivatives attribution version v later neither not reserved hereby unencumbered waived".split())
-LEVEL, NEAR, EDGE, LONGEST, OVERLAP = 19, 400, 200, 8000, 3000
-MIN_SAVED, TOP, MAX_DIFF = 0.25, 3, 0.1
+LEVEL, NEAR, EDGE, WIDE, LONGEST, OVERLAP = 19, 400, 200, 1200, 8000, 3000
+MIN_SAVED, TOP, MAX_DIFF, SHORT = 0.25, 3, 0.1, 40
 
 _WORD = re.compile(r"<[a-z]+>|[^\W_]+(?:\.[0-9]+)*")
 
@@ -144,31 +144,38 @@ class Scanner:
     def scan(self, text: str | None) -> list[tuple[str, int, int, float, int]]:
         """(license, start, end, share saved, words that differ) of each notice, by place."""
         found: dict[tuple[int, int], tuple[str, int, int, float, int]] = {}
-        for start, end in blocks(text or ""):
-            words = _words(text[start:end])
-            while words:
-                block = text[start + words[0][1] : start + words[-1][2]]
-                best = None
-                for saved, k in self.rank(block)[:TOP] if len(block) < 2 * NEAR else self.rank(block)[: 4 * TOP]:
-                    if saved > 0 and (got := self.confirm(self.templates[k][1], [w for w, _, _ in words])):
-                        # of templates confirmed, the one that explains most words with the fewest differences
-                        best = max(best or (-1,), (got[1] - got[0] - got[2], saved, -k, got))
-                if best is None:
-                    break
-                (_, saved, k, (a, b, diff)) = best
-                name, run = self.templates[-k][0], [w for w, _, _ in words[a:b]]
-                i, rest = 0, []
-                while i < len(words):  # the same words elsewhere in the block are the same notice
-                    if words[i][0] == run[0] and [w for w, _, _ in words[i : i + len(run)]] == run:
-                        s, e = start + words[i][1], start + words[i + len(run) - 1][2]
-                        found.setdefault((s, e), (name, s, e, round(saved, 4), diff))
-                        i += len(run)
-                    else:
-                        rest.append(words[i])
-                        i += 1
-                words = rest
+        text = text or ""
+        for start, end in blocks(text):
+            # of a long text the triggers show a part only: a block that a long template explains in part is taken with what is around it
+            saved, k = self.rank(text[start:end])[0]
+            wide = WIDE if saved >= MIN_SAVED and len(self.templates[k][1]) > SHORT else 0
+            self._scan(text, max(0, start - wide), min(len(text), end + wide), found)
         return [found[k] for k in sorted(found)]
 
+    def _scan(self, text: str, start: int, end: int, found: dict) -> None:
+        words = _words(text[start:end])
+        while words:
+            block = text[start + words[0][1] : start + words[-1][2]]
+            best = None
+            for saved, k in self.rank(block)[: TOP if len(block) < 2 * NEAR else 4 * TOP]:
+                if saved > 0 and (got := self.confirm(self.templates[k][1], [w for w, _, _ in words])):
+                    # of templates confirmed, the one that explains most words with the fewest differences
+                    best = max(best or (-1,), (got[1] - got[0] - got[2], saved, -k, got))
+            if best is None:
+                break
+            (_, saved, k, (a, b, diff)) = best
+            name, run = self.templates[-k][0], [w for w, _, _ in words[a:b]]
+            i, rest = 0, []
+            while i < len(words):  # the same words elsewhere in the block are the same notice
+                if words[i][0] == run[0] and [w for w, _, _ in words[i : i + len(run)]] == run:
+                    s, e = start + words[i][1], start + words[i + len(run) - 1][2]
+                    found.setdefault((s, e), (name, s, e, round(saved, 4), diff))
+                    i += len(run)
+                else:
+                    rest.append(words[i])
+                    i += 1
+            words = rest
+
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text", templates: tuple[tuple[str, str], ...] = TEMPLATES) -> DataFrame:
     """(id_col, notices) for every row; ``notices``: array of (license, start, end, saved, n_diff) by place, code points, end exclusive.
