@@ -64,10 +64,15 @@ def _sampled(percent: int) -> float:
     return min(1.0, max(0.1, 2 * (100 - percent) / 100))
 
 
+def _limit(percent: int) -> int:
+    """The mixed hash below which an n-gram is of that fraction."""
+    return min((1 << 64) - 1, int(_sampled(percent) * (1 << 64)))
+
+
 def _first(s: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, int]:
     """A set's n-grams of the leading fraction, what its prefix has beyond these, and the prefix's length."""
     want = prefix_length(len(s), percent)
-    lead = mix64(s ^ np.uint64(0x5BD1E995)) < np.uint64(int(_sampled(percent) * ((1 << 64) - 1)))
+    lead = mix64(s ^ np.uint64(0x5BD1E995)) < np.uint64(_limit(percent))
     head, rest = s[lead], s[~lead]
     return head, rest[: max(0, want - len(head))], want
 
@@ -126,7 +131,7 @@ def _entries(grams: DataFrame, percent: int) -> DataFrame:
     df = each.groupBy("t").count().where("count > 1")
     shared = each.join(df, "t").groupBy("id").agg(F.array_sort(F.collect_list(F.struct(F.col("count").alias("c"), "t"))).alias("g"))
     got = shared.join(grams.select("id", "n", "lead", "want"), "id").select("id", "n", "lead", "want", "g")
-    limit = int(_sampled(percent) * ((1 << 64) - 1))
+    limit = _limit(percent)
 
     def go(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         width = math.log(100 / percent) * 1.001
