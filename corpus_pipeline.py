@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from seqloom.llm import langid, mixing, ngram_join, packing, pii
 from seqloom.llm.common import store
@@ -29,9 +28,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced by its kind; n_chars follows."""
-    found = pii.find(docs.withColumn("_row", F.struct(*docs.columns)), "_row", "text")
-    clean = F.when(F.col("_row.text").isNotNull(), pii.redact(F.col("text"), F.col("findings")))
-    return found.select("_row", clean.alias("_clean")).select(*(F.col("_clean").alias("text") if c == "text" else F.length("_clean").cast("long").alias("n_chars") if c == "n_chars" else F.col(f"_row.`{c}`") for c in docs.columns))
+    return pii.redacted(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -153,3 +153,14 @@ def redact(text: Column, findings: Column) -> Column:
         lambda a: F.concat(a["out"], F.substr(text, a["at"] + 1)),
     )
     return F.when(F.size(findings) > 0, done).otherwise(text)
+
+
+def redacted(docs: DataFrame, text: str = "text", n_chars: str = "n_chars") -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text has its findings redacted; ``n_chars``, where there is one, follows. A null text stays null."""
+    names = docs.columns
+    flat = docs.toDF(*(f"_{i}" for i in range(len(names))))  # so that names that clash do no harm
+    at = names.index(text)
+    found = find(flat.select(F.struct(*flat.columns).alias("row"), F.col(f"_{at}").alias("text")), "row", "text")
+    clean = found.select("row", F.when(F.col(f"row._{at}").isNotNull(), redact(F.col("text"), F.col("findings"))).alias("clean"))
+    size = F.length("clean").cast("long")
+    return clean.select(*(F.col("clean").alias("c") if i == at else size.alias("c") if n == n_chars else F.col(f"row._{i}").alias("c") for i, n in enumerate(names))).toDF(*names)
