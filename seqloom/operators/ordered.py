@@ -108,9 +108,16 @@ def most_frequent(rows: DataFrame, on: list[str], value: str) -> DataFrame:
 
 
 def adaptive_take(rows: DataFrame, at: list[str], evidence: str, target: float) -> DataFrame:
-    """Rows in order until the evidence of those before reaches ``target``."""
-    before = F.coalesce(F.sum(evidence).over(Window.orderBy(*at).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return rows.withColumn("_before", before).where(F.col("_before") < target).drop("_before")
+    """Rows in order until the evidence of those before reaches ``target``.
+
+    The running sum is over the first key's values, then within each: no task sees more than one value's rows.
+    """
+    head = at[0]
+    step = rows.groupBy(head).agg(F.sum(evidence).alias("_e"))
+    step = step.select(F.col(head).alias("_h"), F.coalesce(F.sum("_e").over(Window.orderBy(head).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_a"))
+    inside = F.coalesce(F.sum(evidence).over(Window.partitionBy(head).orderBy(*at).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    near = step.where(F.col("_a") < target)
+    return rows.withColumn("_i", inside).join(near, F.col(head).eqNullSafe(F.col("_h"))).where(F.col("_a") + F.col("_i") < target).drop("_h", "_a", "_i")
 
 
 def sequential_ids(rows: DataFrame, value: str, name: str = "id") -> DataFrame:

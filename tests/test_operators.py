@@ -278,3 +278,37 @@ def test_empty_tables(spark, empty):
     r = spark.createDataFrame([], "k string, r_start long, r_end long")
     assert intervals.interval_join(l, r, ["k"]).count() == 0 and intervals.coalesce(l, ["k"]).count() == 0 and intervals.depth(l, ["k"]).count() == 0
     assert pileup.pileup(spark.createDataFrame([], ALN), ref_frame(spark)).count() == 0
+
+
+def test_realignment(spark):
+    from seqloom.operators import realign
+
+    rng = random.Random(12)
+    ref = "".join(rng.choice("ACGT") for _ in range(300))
+    deletion, insertion = (150, 4, ""), (150, 0, "ACGGT")
+    carrier, plain = ref[100:150] + ref[154:190], ref[100:186]
+    q = [30] * 86
+    assert realign.realign(ref, carrier, q, 100, [deletion, insertion])[2] == (deletion,)
+    assert realign.realign(ref, plain, q, 100, [deletion, insertion])[2] == ()
+    df = spark.createDataFrame([(1, 0, 101, carrier, q), (2, 0, 101, plain, q)], "read_id long, contig_id int, pos int, seq string, quals array<int>")
+    got = {(r.read_id, r.del_len): r.lnp_indel > r.lnp_ref for r in realign.score_reads(df, {0: [deletion]}, {0: ref}).collect()}
+    assert got == {(1, 4): True, (2, 4): False}
+    s = realign.support_summary(realign.score_reads(df, {0: [deletion]}, {0: ref})).first()
+    assert (s.ref, s.indel, s.unsure) == (1, 1, 0)
+
+
+def test_older_tests(spark):
+    from seqloom.operators import legacy
+
+    calls = [(0, 1, "A", b, 30) for b in "A" * 20] + [(0, 2, "A", b, 30) for b in "AC" * 10]
+    df = spark.createDataFrame(calls, "contig_id int, pos int, ref string, base string, q int")
+    got = {r.pos: r for r in legacy.likelihood_ratio(legacy.collect_sites(df)).collect()}
+    assert not got[1].is_snp and got[2].is_snp and abs(got[2].fraction - 0.5) < 0.05
+    assert {r.pos: r.base for r in legacy.monoploid(df, ["contig_id", "pos"]).where("pos = 1").collect()} == {1: "A"}
+    post = legacy.n_ploid([(10, 10)], 0.01, 4)
+    assert max(range(5), key=post.__getitem__) == 2 and math.isclose(sum(post), 1)
+    s = legacy.strand_anomaly(spark.createDataFrame([(30, 0, 0, 30), (15, 15, 15, 15)], "fwd_ref int, fwd_alt int, rev_ref int, rev_alt int")).collect()
+    assert [r.is_anomaly for r in s] == [True, False]
+    assert legacy.nonref_test(spark.createDataFrame([(50, 20)], "ref_n int, alt_n int")).first().is_nonref
+    assert legacy.strand_coverage_anomaly(spark.createDataFrame([(60, 0)], "fwd int, rev int")).first().is_anomaly
+    assert legacy.haplotype_score([("AC", [30, 30])] * 3 + [("AG", [30, 20])] * 3) == 0

@@ -7,7 +7,7 @@ import duckdb
 import numpy as np
 import pytest
 
-import __spark_entry__
+import __spark_entry__  # noqa: F401
 from seqloom.plans import registry
 
 
