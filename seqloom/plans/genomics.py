@@ -313,13 +313,19 @@ def gvcf_blocks(spark, d):
     return gvcf.blocks(s)
 
 
-@query("session_windows")
+@query(
+    "session_windows",
+    """WITH e AS (SELECT user_id, ts, value, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts) < 10800000000 THEN 0 ELSE 1 END AS n FROM events),
+s AS (SELECT *, sum(n) OVER (PARTITION BY user_id ORDER BY ts) AS s FROM e)
+SELECT min(ts) AS start, max(ts) + INTERVAL '3 hours' AS "end", user_id, count(*) AS n, round(sum(value), 4) AS value FROM s GROUP BY user_id, s""",
+)
 def session_windows(spark, d):
     """The batch form of the streaming sessions."""
     from ..streaming import streams
     from .registry import table
 
-    return streams.sessions(table(spark, d, "events"), "ts", "3 hours", ["user_id"], [F.count("*").alias("n"), F.round(F.sum("value"), 6).alias("value")])
+    w = streams.sessions(table(spark, d, "events"), "ts", "3 hours", ["user_id"], [F.count("*").alias("n"), F.sum("value").alias("value")])
+    return w.withColumns({"start": F.col("start").cast("timestamp_ntz"), "end": F.col("end").cast("timestamp_ntz"), "value": F.round("value", 4)})
 
 
 @query("tumbling_windows", "SELECT time_bucket(INTERVAL '1 day', ts) AS start, time_bucket(INTERVAL '1 day', ts) + INTERVAL '1 day' AS \"end\", event_type, count(*) AS n FROM events GROUP BY 1, 2, 3")
