@@ -85,13 +85,16 @@ def repeat_context(indels: DataFrame, reference: dict[int, str]) -> DataFrame:
     return indels.mapInPandas(go, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in indels.schema) + ", unit string, ref_repeats int, alt_repeats int")
 
 
-def genotype(read_scores: DataFrame, site: list[str], theta: float = 1e-4, het_fraction: float = 0.5) -> DataFrame:
-    """(site, gt, gq, pl) from per-read log likelihoods (site, lnp_ref, lnp_indel): hom-ref, het and hom-alt as sums over reads."""
+def genotype(read_scores: DataFrame, site: list[str], theta: float | str = 1e-4, het_fraction: float = 0.5) -> DataFrame:
+    """(site, gt, gq, pl) from per-read log likelihoods (site, lnp_ref, lnp_indel): hom-ref, het and hom-alt as sums over reads.
+
+    ``theta``, the indel rate, is a number or the name of a column, such as one joined from a table by repeat context.
+    """
     c = F.col
     het = numeric.log_sum(c("lnp_ref") + math.log(1 - het_fraction), c("lnp_indel") + math.log(het_fraction))
-    s = read_scores.groupBy(*site).agg(F.sum("lnp_ref").alias("_0"), F.sum(het).alias("_1"), F.sum("lnp_indel").alias("_2"), F.count("*").alias("reads"))
-    l = s.select(*site, "reads", F.array("_0", "_1", "_2").alias("lhood"))
-    prior = F.array(*(F.lit(math.log(x)) for x in (1 - 1.5 * theta, theta, theta / 2)))
+    s = read_scores.groupBy(*site).agg(F.sum("lnp_ref").alias("_0"), F.sum(het).alias("_1"), F.sum("lnp_indel").alias("_2"), F.count("*").alias("reads"), (F.max(theta) if isinstance(theta, str) else F.max(F.lit(theta))).alias("_t"))
+    l = s.select(*site, "reads", "_t", F.array("_0", "_1", "_2").alias("lhood"))
+    prior = F.array(F.ln(1 - 1.5 * c("_t")), F.ln(c("_t")), F.ln(c("_t") / 2))
     post = numeric.normalize_log(F.zip_with("lhood", prior, lambda a, b: a + b))
     l = l.withColumn("_p", post).withColumn("_b", numeric.argmax(F.col("_p")))
     rest = F.aggregate(F.transform("_p", lambda x, i: F.when(i == c("_b"), 0.0).otherwise(x)), F.lit(0.0), lambda a, x: a + x)

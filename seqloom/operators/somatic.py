@@ -118,3 +118,23 @@ def callable_regions(sites: DataFrame, least: int = 10) -> DataFrame:
     from .intervals import islands
 
     return islands(sites.where(F.col("used") >= least), ["contig_id"]).select("contig_id", (F.col("first") - 1).alias("begin"), F.col("last").alias("end"))
+
+
+def header(contigs: list[tuple[str, int]], kind: str = "SNV") -> list[str]:
+    """A somatic call set's header lines."""
+    q = "QSS" if kind == "SNV" else "QSI"
+    out = ["##fileformat=VCFv4.1", *(f"##contig=<ID={n},length={size}>" for n, size in contigs)]
+    out += [f'##INFO=<ID={q},Number=1,Type=Integer,Description="Quality of any somatic variant">', f'##INFO=<ID={q}_NT,Number=1,Type=Integer,Description="Quality with the normal genotype">', '##INFO=<ID=NT,Number=1,Type=String,Description="Normal genotype">', '##INFO=<ID=SOMATIC,Number=0,Type=Flag,Description="Somatic variant">']
+    out += [f'##FILTER=<ID={i},Description="{d}">' for i, d in (("HighDepth", "Normal depth is high for the chromosome"), ("BCNoise", "Many base calls are filtered"), ("SpanDel", "Many reads span the site with a deletion"), (f"{q}_ref", "Normal is not the reference, or the quality is low"), ("LowDepth", "Depth is low"))]
+    out += ['##FORMAT=<ID=DP,Number=1,Type=Integer,Description="Used depth">', '##FORMAT=<ID=AD,Number=.,Type=Integer,Description="Allele depths">']
+    return [*out, "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tNORMAL\tTUMOR"]
+
+
+def lines(calls: DataFrame, chrom, kind: str = "SNV") -> DataFrame:
+    """(contig_id, pos, line) from (contig_id, pos, ref, alt, filters, qss, qss_nt, nt, normal_ad array, tumour_ad array)."""
+    c, q = F.col, "QSS" if kind == "SNV" else "QSI"
+    total = lambda x: F.aggregate(x, F.lit(0).cast("long"), lambda a, v: a + v).cast("string")
+    sample = lambda x: F.concat(total(x), F.lit(":"), F.array_join(F.transform(x, lambda v: v.cast("string")), ","))
+    info = F.concat(F.lit(f"SOMATIC;{q}="), c("qss").cast("string"), F.lit(f";{q}_NT="), c("qss_nt").cast("string"), F.lit(";NT="), c("nt"))
+    line = F.concat_ws("\t", chrom, c("pos").cast("string"), F.lit("."), "ref", "alt", F.lit("."), F.when(F.size("filters") == 0, "PASS").otherwise(F.array_join("filters", ";")), info, F.lit("DP:AD"), sample(c("normal_ad")), sample(c("tumour_ad")))
+    return calls.select("contig_id", "pos", line.alias("line"))

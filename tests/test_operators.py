@@ -312,3 +312,12 @@ def test_older_tests(spark):
     assert legacy.nonref_test(spark.createDataFrame([(50, 20)], "ref_n int, alt_n int")).first().is_nonref
     assert legacy.strand_coverage_anomaly(spark.createDataFrame([(60, 0)], "fwd int, rev int")).first().is_anomaly
     assert legacy.haplotype_score([("AC", [30, 30])] * 3 + [("AG", [30, 20])] * 3) == 0
+
+
+def test_somatic_lines_and_rates_by_context(spark):
+    calls = spark.createDataFrame([(0, 5, "A", "C", [], 40, 30, "ref", [20, 0], [10, 9])], "contig_id int, pos int, ref string, alt string, filters array<string>, qss int, qss_nt int, nt string, normal_ad array<int>, tumour_ad array<int>")
+    line = somatic.lines(calls, F.lit("c1")).first().line
+    assert line == "c1\t5\t.\tA\tC\t.\tPASS\tSOMATIC;QSS=40;QSS_NT=30;NT=ref\tDP:AD\t20:20,0\t19:10,9"
+    assert somatic.header([("c1", 9)])[-1].count("\t") == line.count("\t")
+    sc = spark.createDataFrame([(1, -3.0, -1.0, 1e-4)] * 3 + [(2, -3.0, -1.0, 0.2)] * 3, "site int, lnp_ref double, lnp_indel double, rate double")
+    assert {r.site: r.gt for r in indels.genotype(sc, ["site"], "rate").collect()} == {1: "0/0", 2: "1/1"}
