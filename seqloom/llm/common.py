@@ -60,33 +60,51 @@ def discard(*tables: DataFrame) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def among(rows: DataFrame, ids: DataFrame, other: bool = False, then: Callable[[Iterator], Iterator] | None = None, schema: str | None = None) -> DataFrame:
-    """The ``rows`` (id, ...) that may be among ``ids`` (id): all that are, and few others; with ``other``, the rest, which surely aren't.
-
-    A filter of a fixed size is broadcast, so that most rows need no shuffle to be told apart. What is left goes through
-    ``then``, which gives batches of ``schema``, in the same Python worker.
-    """
-    bit = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
-    bits = ids.select((bit + 1).alias("b")).groupBy(F.bitmap_bucket_number("b").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("m"))
+def _mask(ids: DataFrame) -> np.ndarray:
+    """Bits of ``ids`` (id): at most FILTER_BITS in all, whatever their number."""
+    bit = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS)) + 1  # places count from 1
+    bits = ids.select(bit.alias("b")).groupBy(F.bitmap_bucket_number("b").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("m"))
     mask = np.zeros(FILTER_BITS // 8 + 4096, np.uint8)
-    for r in bits.toLocalIterator():  # at most FILTER_BITS bits in all
+    for r in bits.toLocalIterator():
         at = (r["k"] - 1) * 4096
         mask[at : at + 4096] |= np.frombuffer(bytes(r["m"]), np.uint8)
-    sent = rows.sparkSession.sparkContext.broadcast(mask)
+    return mask
+
+
+def among(rows: DataFrame, ids: DataFrame | np.ndarray, other: bool = False, then: Callable[[Iterator], Iterator] | None = None, schema: str | None = None, also: tuple[tuple[DataFrame | np.ndarray, bool], ...] = ()) -> DataFrame:
+    """The ``rows`` (id, ...) that may be among ``ids`` (id, or their bits): all that are, and few others; with ``other``, the rest, which surely aren't.
+
+    A filter of a fixed size is broadcast, so that most rows need no shuffle to be told apart. ``also`` has further ids,
+    and whether rows are to be among them. What is left goes through ``then``, which gives batches of ``schema``, in the
+    same Python worker.
+    """
+    masks = [(x if isinstance(x, np.ndarray) else _mask(x), want) for x, want in ((ids, not other), *also)]
+    sent = rows.sparkSession.sparkContext.broadcast(masks)
 
     def passed(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
             k = b.column(b.num_columns - 1).to_numpy(zero_copy_only=False).astype(np.int64)
-            keep = (sent.value[k >> 3] >> (k & 7).astype(np.uint8) & 1).astype(bool) != other
+            keep = np.ones(len(k), bool)
+            for mask, want in sent.value:
+                keep &= (mask[k >> 3] >> (k & 7).astype(np.uint8) & 1).astype(bool) == want
             if keep.any():
                 yield b.filter(pa.array(keep)).select(b.schema.names[:-1])
 
     def go(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return then(passed(it)) if then else passed(it)
 
+    bit = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
     return rows.withColumn("_bit", bit).mapInArrow(go, schema or ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields))
 
 
+def exactly(rows: DataFrame, ids: DataFrame, then: Callable[[Iterator], Iterator], schema: str) -> DataFrame:
+    """``then`` over just the ``rows`` (id, ...) that are among ``ids`` (id): of these, only what a filter takes for members by mistake, and its like, is shuffled whole."""
+    bits = _mask(ids)
+    wrong = _mask(among(rows.select("id"), bits).join(ids, "id", "left_anti"))
+    sure = among(rows, bits, False, then, schema, ((wrong, False),))
+    return sure.unionByName(among(rows, bits, False, None, None, ((wrong, True),)).join(ids, "id", "left_semi").select(*rows.columns).mapInArrow(then, schema))
+
+
 def n_words(text: Column) -> Column:
     """How many words ``text`` has; null has none. Linear, and without an array of the words."""
     one = F.regexp_replace(F.coalesce(text, F.lit("")), WORD, "w")

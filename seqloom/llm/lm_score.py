@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import among, chunks, pick
+from .common import chunks, exactly, pick
 
 ORDER, SYMBOLS = 4, 48
 _EDGE, _OTHER = 0, 1
@@ -67,22 +67,25 @@ class _Grams:
         return gram[inside], n
 
 
-def counts(rows: DataFrame, vocab: list[int], symbols: int = SYMBOLS) -> np.ndarray:
-    """How often each n-gram occurs in all ``rows`` (text); summed in each task, then over tasks."""
+def counts(rows: DataFrame, vocab: list[int], symbols: int = SYMBOLS, ids: DataFrame | None = None) -> np.ndarray:
+    """How often each n-gram occurs in all ``rows`` (id, text), or in those among ``ids`` (id); summed in each task, then over tasks."""
     size = symbols**ORDER
 
     def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, total = _Grams(vocab, symbols), np.zeros(size, np.int64)
         for b in it:
             for c in chunks([b], 500):
-                g, _ = grams(c.column(0).to_pylist())
-                total += np.bincount(g, minlength=size)
+                g, _ = grams(c.column(1).to_pylist())
+                g.sort()
+                first = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]])) if len(g) else np.empty(0, np.int64)
+                total[g[first]] += np.diff(np.concatenate([first, [len(g)]]))
         at = np.flatnonzero(total)
         for i in range(0, len(at), 100_000):
             yield pa.RecordBatch.from_arrays([pa.array(at[i : i + 100_000]), pa.array(total[at[i : i + 100_000]])], ["gram", "n"])
 
-    out = np.zeros(size, np.int64)
-    got = rows.select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
+    out, schema = np.zeros(size, np.int64), "gram long, n long"
+    each = rows.mapInArrow(count, schema) if ids is None else exactly(rows, ids, count, schema)
+    got = each.groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
     out[got["gram"].to_numpy()] = got["n"].to_numpy()
     return out
 
@@ -110,7 +113,7 @@ def score(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text:
     ids = target_ids.select(F.col(target_ids.columns[0]).alias("id")).distinct()
     vocab = vocabulary(rows, symbols)
     back = losses(counts(rows, vocab, symbols), symbols)
-    aim = losses(counts(among(rows, ids).join(ids, "id", "left_semi"), vocab, symbols), symbols)
+    aim = losses(counts(rows, vocab, symbols, ids), symbols)
     model = docs.sparkSession.sparkContext.broadcast((aim, back))
     kind = next(f.dataType.simpleString() for f in rows.schema.fields if f.name == "id")
 
