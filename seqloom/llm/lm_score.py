@@ -1,11 +1,12 @@
 """Cross-entropy difference of two matched n-gram models, a target's and a background's.
 
-Both models are of the same order over the same vocabulary: the most frequent code points of the whole corpus, lower-cased,
-one symbol for all others and one for a text's edge. Both are smoothed alike (Witten and Bell's interpolation down to
-the uniform distribution) from exact counts over all rows. A token is a character; a document's score is its mean loss
-under the target model less its mean loss under the background model, in nats: lower is more like the target.
+Both models are of the same order over the same vocabulary: every lower-cased code point of the corpus, and one symbol
+for a text's edge. Both are smoothed alike (Witten and Bell's interpolation down to the uniform distribution) from exact
+counts over all rows. A token is a character; a document's score is its mean loss under the target model less its mean
+loss under the background model, in nats: lower is more like the target.
 
-A model is a table of ``symbols ** ORDER`` numbers, whatever the corpus: that bounds what is collected and broadcast.
+The models are one table with a row for each n-gram that occurs, partitioned by hash, so they grow with the corpus. The
+most frequent n-grams, of fixed number, are broadcast; what a document has of others is joined with the table.
 """
 
 from __future__ import annotations
@@ -14,13 +15,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, exactly, pick
+from .common import chunks, exactly, pick, store
 
+#: SYMBOLS is the least number of symbols that the uniform distribution is over; a corpus with more has as many as it needs.
 ORDER, SYMBOLS = 4, 48
-_EDGE, _OTHER = 0, 1
+HOT = 1 << 20
+_EDGE, _BITS, _HELD = 0x110000, 21, 1 << 21
+#: Losses are summed as whole multiples of this, so that sums don't depend on their order.
+_UNIT = 1e-8
 
 
 def _codes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -29,107 +34,180 @@ def _codes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer("".join(low).encode("utf-32-le", "surrogatepass"), np.uint32), np.array([len(t) for t in low], np.int64)
 
 
-def vocabulary(rows: DataFrame, symbols: int = SYMBOLS) -> list[int]:
-    """The ``symbols`` - 2 most frequent code points of all texts; ties go to the smaller."""
-
-    def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0x110000, np.int64)
-        for b in it:
-            for c in chunks([b], 1000):
-                codes, _ = _codes(c.column(0).to_pylist())
-                total += np.bincount(codes, minlength=len(total))
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["code", "n"])
-
-    # at most as many rows as Unicode has code points
-    top = rows.select("text").mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "code").limit(symbols - 2)
-    return [r["code"] for r in top.collect()]
-
-
-class _Grams:
-    """Texts to numbers of n-grams: each character with the ``ORDER`` - 1 before it, edges first."""
-
-    def __init__(self, vocab: list[int], symbols: int):
-        self.symbols, self.number = symbols, np.full(0x110000, _OTHER, np.int64)
-        self.number[vocab] = np.arange(2, 2 + len(vocab))
-
-    def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        codes, n = _codes(texts)
-        ends = np.cumsum(n + ORDER - 1)
-        padded = np.full(int(ends[-1]) if len(ends) else 0, _EDGE, np.int64)
-        inside = np.ones(len(padded), bool)
-        for i in range(ORDER - 1):  # each text follows its edges
-            inside[ends - n - 1 - i] = False
-        padded[inside] = self.number[codes]
-        gram = np.zeros(len(padded), np.int64)
+def _padded(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All texts' code points, each text after ``ORDER`` - 1 edges; which of them are the texts' own; the texts' lengths."""
+    codes, n = _codes(texts)
+    ends = np.cumsum(n + ORDER - 1)
+    padded = np.full(int(ends[-1]) if len(ends) else 0, _EDGE, np.int64)
+    inside = np.ones(len(padded), bool)
+    for i in range(ORDER - 1):  # each text follows its edges
+        inside[ends - n - 1 - i] = False
+    padded[inside] = codes
+    return padded, inside, n
+
+
+def _grams(padded: np.ndarray, inside: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """The n-grams that end at ``inside``: by piece, (the ``ORDER`` - 1 symbols before, last symbol, where the distinct
+    n-grams begin among the sorted ones, positions sorted by n-gram)."""
+    todo = [(ORDER - 1, len(padded))]
+    while todo:
+        a, z = todo.pop()
+        piece = padded[a - ORDER + 1 : z]
+        at = np.flatnonzero(inside[a:z]) + a
+        if not len(at):
+            continue
+        # a piece's own numbers for its code points, in their order: an n-gram is then a word of 64 bits
+        seen = np.zeros(_EDGE + 1, bool)
+        seen[piece] = True
+        own = np.flatnonzero(seen)
+        bits = max(1, int(len(own) - 1).bit_length())
+        if bits * ORDER > 63:
+            todo += [(a, (a + z) // 2), ((a + z) // 2, z)]
+            continue
+        number = np.zeros(_EDGE + 1, np.int64)
+        number[own] = np.arange(len(own))
+        numbered, key = number[piece], np.zeros(len(at), np.int64)
         for i in range(ORDER):
-            gram[ORDER - 1 :] = gram[ORDER - 1 :] * self.symbols + padded[i : len(padded) - ORDER + 1 + i]
-        return gram[inside], n
-
-
-def counts(rows: DataFrame, vocab: list[int], symbols: int = SYMBOLS, ids: DataFrame | None = None) -> np.ndarray:
-    """How often each n-gram occurs in all ``rows`` (id, text), or in those among ``ids`` (id); summed in each task, then over tasks."""
-    size = symbols**ORDER
-
-    def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, total = _Grams(vocab, symbols), np.zeros(size, np.int64)
-        for b in it:
-            for c in chunks([b], 500):
-                g, _ = grams(c.column(1).to_pylist())
-                g.sort()
-                first = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]])) if len(g) else np.empty(0, np.int64)
-                total[g[first]] += np.diff(np.concatenate([first, [len(g)]]))
-        at = np.flatnonzero(total)
-        for i in range(0, len(at), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(at[i : i + 100_000]), pa.array(total[at[i : i + 100_000]])], ["gram", "n"])
-
-    out, schema = np.zeros(size, np.int64), "gram long, n long"
-    each = rows.mapInArrow(count, schema) if ids is None else exactly(rows, ids, count, schema)
-    got = each.groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
-    out[got["gram"].to_numpy()] = got["n"].to_numpy()
-    return out
-
-
-def losses(count: np.ndarray, symbols: int = SYMBOLS) -> np.ndarray:
-    """-log p of each n-gram's last symbol after the others. Without any counts, all are alike."""
-    p = np.full(symbols, 1.0 / symbols)
-    for k in range(1, ORDER + 1):
-        # of an n-gram's last k symbols
-        c = count.reshape(-1, symbols**k).sum(0).reshape(-1, symbols).astype(np.float64)
-        total, kinds = c.sum(1, keepdims=True), (c > 0).sum(1, keepdims=True)
-        lower = np.tile(p.reshape(-1, symbols), (c.shape[0] // (p.size // symbols), 1))
-        p = np.where(total > 0, (c + kinds * lower) / np.maximum(total + kinds, 1), lower)
-    return -np.log(p.ravel()).astype(np.float32)
-
-
-def score(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text: str = "text", symbols: int = SYMBOLS) -> DataFrame:
+            key = (key << bits) | numbered[at - a + i]
+        order = np.argsort(key)
+        key = key[order]
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        key, low = key[first], (1 << bits) - 1
+        before = np.zeros(len(key), np.int64)
+        for i in range(ORDER - 1, 0, -1):
+            before = (before << _BITS) | own[(key >> (bits * i)) & low]
+        yield before, own[key & low], first, at[order]
+
+
+def _summed(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    before, last, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.lexsort((last, before))
+    before, last = before[order], last[order]
+    first = np.flatnonzero(np.concatenate([[True], (before[1:] != before[:-1]) | (last[1:] != last[:-1])]))
+    return before[first], last[first], np.add.reduceat(n[order], first)
+
+
+def _count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(before, last, n) of a task's texts; a task holds at most about _HELD n-grams, so one may come out more than once."""
+
+    def out(before: np.ndarray, last: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for i in range(0, len(n), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(x[i : i + 100_000]) for x in (before, last, n)], ["before", "last", "n"])
+
+    held: list[tuple[np.ndarray, ...]] = []
+    for b in it:
+        for c in chunks([b], 500):
+            padded, inside, _ = _padded(c.column(1).to_pylist())
+            for before, last, first, at in _grams(padded, inside):
+                held.append((before, last, np.diff(np.append(first, len(at)))))
+            if sum(len(x[0]) for x in held) > _HELD:
+                held = [_summed(held)]
+                if len(held[0][0]) > _HELD // 2:
+                    yield from out(*held.pop())
+    if held:
+        yield from out(*_summed(held))
+
+
+def counts(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """(before, last, back, aim): how often each n-gram occurs in all ``rows`` (id, text), and in those among ``ids`` (id)."""
+    schema = "before long, last long, n long"
+    every = rows.mapInArrow(_count, schema).select("before", "last", F.col("n").alias("back"), F.lit(0).cast("long").alias("aim"))
+    aimed = exactly(rows, ids, _count, schema).select("before", "last", F.lit(0).cast("long").alias("back"), F.col("n").alias("aim"))
+    return every.unionByName(aimed).groupBy("before", "last").agg(F.sum("back").alias("back"), F.sum("aim").alias("aim"))
+
+
+def losses(grams: DataFrame, symbols: int = SYMBOLS) -> DataFrame:
+    """``grams`` (before, last, back, aim) with -log p of each n-gram's last symbol after the others, ``back_loss`` and ``aim_loss``, in units of _UNIT.
+
+    Without any counts of a model, all symbols are alike.
+    """
+    models = ("back", "aim")
+
+    def total(by: list[str], of: DataFrame) -> DataFrame:
+        return of.groupBy(*by).agg(*(F.sum(m).alias(f"{m}_total") for m in models), *(F.sum((F.col(m) > 0).cast("long")).alias(f"{m}_kinds") for m in models))
+
+    def p(m: str, lower: Column) -> Column:
+        all_, kinds = F.col(f"{m}_total"), F.col(f"{m}_kinds")
+        return F.when(all_ > 0, (F.col(m) + kinds * lower) / (all_ + kinds)).otherwise(lower)
+
+    one = grams.groupBy("last").agg(*(F.sum(m).alias(m) for m in models))
+    # one row: the totals, and how many symbols there are, with the edge and one for what doesn't occur
+    all_ = total([], one).crossJoin(one.agg(F.greatest(F.lit(symbols), F.count("*") + 2).alias("symbols")))
+    at = one.crossJoin(F.broadcast(all_)).select(F.lit(0).cast("long").alias("before"), "last", *(p(m, 1.0 / F.col("symbols")).alias(f"{m}_p") for m in models))
+    for k in range(2, ORDER + 1):
+        # of an n-gram's last k symbols; the last k - 2 of those before give the shorter one
+        some = grams.withColumn("before", F.col("before").bitwiseAND(F.lit((1 << (_BITS * (k - 1))) - 1))).groupBy("before", "last").agg(*(F.sum(m).alias(m) for m in models)) if k < ORDER else grams
+        some = some.join(total(["before"], some), "before").withColumn("shorter", F.col("before").bitwiseAND(F.lit((1 << (_BITS * (k - 2))) - 1)))
+        lower = at.withColumnRenamed("before", "shorter")
+        at = some.join(lower.select("shorter", "last", *(F.col(f"{m}_p").alias(f"{m}_l") for m in models)), ["shorter", "last"]).select("before", "last", *models, *(p(m, F.col(f"{m}_l")).alias(f"{m}_p") for m in models))
+    return at.select("before", "last", *models, *(F.round(-F.log(f"{m}_p") / _UNIT).cast("long").alias(f"{m}_loss") for m in models))
+
+
+class _Table:
+    """N-grams' losses, looked up."""
+
+    def __init__(self, before: np.ndarray, last: np.ndarray, aim: np.ndarray, back: np.ndarray):
+        order = np.lexsort((last, before))
+        self.before, number = np.unique(before, return_inverse=True)
+        self.key, self.loss = (number[order] << _BITS) | last[order], np.stack([aim[order], back[order]])
+
+    def __call__(self, before: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(which are here, the two losses of those, 0 for others)."""
+        if not len(self.key):
+            return np.zeros(len(last), bool), np.zeros((2, len(last)), np.int64)
+        i = np.minimum(np.searchsorted(self.before, before), len(self.before) - 1)
+        key = (i << _BITS) | last
+        j = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+        here = (self.before[i] == before) & (self.key[j] == key)
+        return here, np.where(here, self.loss[:, j], 0)
+
+
+def score(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text: str = "text", symbols: int = SYMBOLS, hot: int = HOT) -> DataFrame:
     """(id_col, n_tokens, target_loss, background_loss, score) for every row.
 
     The target model counts the rows whose id is in ``target_ids`` (its first column), the background model all rows.
     A null or empty text has no tokens and null losses and score. An empty target gives the uniform model. Repeated rows
-    count as often as they occur; extra columns take no part; an empty table gives no rows.
+    count as often as they occur; extra columns take no part; an empty table gives no rows. ``hot``, how many n-grams are
+    broadcast, changes no result.
     """
     rows = pick(docs, id=id_col, text=text)
     ids = target_ids.select(F.col(target_ids.columns[0]).alias("id")).distinct()
-    vocab = vocabulary(rows, symbols)
-    back = losses(counts(rows, vocab, symbols), symbols)
-    aim = losses(counts(rows, vocab, symbols, ids), symbols)
-    model = docs.sparkSession.sparkContext.broadcast((aim, back))
+    grams = store(counts(rows, ids), "grams")
+    table = store(losses(grams, symbols), "losses")
+    top = table.orderBy(F.desc("back"), "before", "last").limit(hot).toArrow() if (cold := table.count() > hot) else table.toArrow()
+    model = docs.sparkSession.sparkContext.broadcast(tuple(top[c].to_numpy() for c in ("before", "last", "aim_loss", "back_loss")))
     kind = next(f.dataType.simpleString() for f in rows.schema.fields if f.name == "id")
 
     def go(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams = _Grams(vocab, symbols)
-        aim, back = model.value
+        """A row for each text, with the sums over the n-grams that the table has, and one for each other n-gram of it."""
+        table = _Table(*model.value)
+        names = ["row", "id", "n_tokens", "aim_loss", "back_loss", "before", "last"]
         for b in chunks(it, 500):
-            g, n = grams(b.column(1).to_pylist())
-            ends = np.cumsum(n)
-            none = n == 0
-
-            def mean(x: np.ndarray, ends=ends, n=n) -> np.ndarray:
-                upto = np.concatenate([[0.0], np.cumsum(x[g].astype(np.float64))])
-                return np.round((upto[ends] - upto[ends - n]) / np.maximum(n, 1), 6)
-
-            a, z = mean(aim), mean(back)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n), *(pa.array(x, pa.float64(), mask=none) for x in (a, z, np.round(a - z, 6)))], ["id", "n_tokens", "target_loss", "background_loss", "score"])
-
-    return rows.mapInArrow(go, f"id {kind}, n_tokens long, target_loss double, background_loss double, score double").withColumnRenamed("id", id_col)
+            padded, inside, n = _padded(b.column(2).to_pylist())
+            loss, ends, missing = np.zeros((2, len(padded) + 1), np.int64), np.cumsum(n + ORDER - 1), []
+            for before, last, first, at in _grams(padded, inside):
+                here, found = table(before, last)
+                which = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(at))))
+                loss[:, at + 1] = found[:, which]
+                if not here.all():
+                    other = ~here[which]
+                    missing.append((np.searchsorted(ends, at[other], "right"), before[which[other]], last[which[other]]))
+            upto = np.cumsum(loss, axis=1)
+            aim, back = upto[:, ends] - upto[:, ends - n - ORDER + 1]
+            none = pa.nulls(len(n), pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n), pa.array(aim), pa.array(back), none, none], names)
+            for doc, before, last in missing:
+                for i in range(0, len(doc), 100_000):
+                    d = pa.array(doc[i : i + 100_000])
+                    nil = pa.nulls(len(d), pa.int64())
+                    yield pa.RecordBatch.from_arrays([b.column(0).take(d), pa.nulls(len(d), b.column(1).type), nil, nil, nil, pa.array(before[i : i + 100_000]), pa.array(last[i : i + 100_000])], names)
+
+    numbered = rows.select(F.monotonically_increasing_id().alias("row"), "id", "text")
+    parts = numbered.mapInArrow(go, f"row long, id {kind}, n_tokens long, aim_loss long, back_loss long, before long, last long")
+    if cold:
+        parts = store(parts, "parts")
+        rest = parts.where("before is not null").groupBy("row", "before", "last").agg(F.count("*").alias("n")).join(table.select("before", "last", F.col("aim_loss").alias("_a"), F.col("back_loss").alias("_b")), ["before", "last"])
+        rest = rest.groupBy("row").agg(F.sum(F.col("n") * F.col("_a")).alias("_a"), F.sum(F.col("n") * F.col("_b")).alias("_b"))
+        parts = parts.where("before is null").join(rest, "row", "left").withColumn("aim_loss", F.col("aim_loss") + F.coalesce("_a", F.lit(0))).withColumn("back_loss", F.col("back_loss") + F.coalesce("_b", F.lit(0)))
+    mean = lambda c: F.when(F.col("n_tokens") > 0, F.round(F.col(c) * _UNIT / F.col("n_tokens"), 6))
+    return parts.select("id", "n_tokens", mean("aim_loss").alias("target_loss"), mean("back_loss").alias("background_loss")).withColumn("score", F.round(F.col("target_loss") - F.col("background_loss"), 6)).withColumnRenamed("id", id_col)

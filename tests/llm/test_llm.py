@@ -135,6 +135,43 @@ def test_lm_against_brute_force(spark):
         assert math.isclose(got[i].target_loss, loss(a), abs_tol=2e-5) and math.isclose(got[i].score, loss(a) - loss(b), abs_tol=4e-5)
 
 
+def test_lm_vocabulary_is_open(spark):
+    rng = random.Random(12)
+    alphabets = ["abcdefghijklmnopqrstuvwxyz0123456789 .,-'\"()!?:;/+", "абвгдежзийклмнопрстуфхцчшщъыьэюя ", "αβγδεζηθικλμνξοπρστυφχψω ", "".join(map(chr, range(0x4E00, 0x4E00 + 300))) + "𝒳\0"]
+    texts = ["".join(rng.choice(alphabets[0]) for _ in range(300)) for _ in range(20)] + ["".join(rng.choice(alphabets[1 + i % 3]) for _ in range(60)) for i in range(18)]
+    target = {i for i in range(20, 38) if i % 3 == 2}  # texts of one of the scripts
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    ids = spark.createDataFrame([(i,) for i in target], "i long")
+    size = len({c for t in texts for c in t}) + 2
+    assert size > lm_score.SYMBOLS + 200
+
+    def model(of):
+        c = defaultdict(lambda: defaultdict(int))
+        for i in of:
+            s = ["^"] * 3 + list(texts[i])
+            for j in range(3, len(s)):
+                for k in range(4):
+                    c[tuple(s[j - k : j])][s[j]] += 1
+
+        def p(ctx, x):
+            lower = 1 / size if not ctx else p(ctx[1:], x)
+            here = c.get(ctx)
+            return (here.get(x, 0) + len(here) * lower) / (sum(here.values()) + len(here)) if here else lower
+
+        return p
+
+    a, b = model(target), model(range(len(texts)))
+    got = {r.doc_id: r for r in lm_score.score(df, ids).collect()}
+    assert len(got) == len(texts)
+    for i, t in enumerate(texts):
+        s = ["^"] * 3 + list(t)
+        loss = lambda m: sum(-math.log(m(tuple(s[j - 3 : j]), s[j])) for j in range(3, len(s))) / len(t)  # noqa: B023, E731
+        assert got[i].n_tokens == len(t) and math.isclose(got[i].target_loss, loss(a), abs_tol=2e-6) and math.isclose(got[i].background_loss, loss(b), abs_tol=2e-6)
+    assert max(got[i].score for i in target) < min(got[i].score for i in range(20, 38) if i not in target)
+    for hot in (0, 50):  # n-grams that are not broadcast count alike
+        assert {r.doc_id: r for r in lm_score.score(df, ids, hot=hot).collect()} == got
+
+
 # 3
 
 
