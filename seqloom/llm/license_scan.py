@@ -1,8 +1,8 @@
 """License notices by conditional compression.
 
 Blocks of text around words that licenses use are candidates. Each is compressed with zstandard, once by itself and once
-with each template as a raw dictionary: what a template saves tells how much of the block it explains. The templates
-that save most are compared word by word; a template is confirmed if the differences are few and touch none of the
+with each template as a raw dictionary: what a template saves tells how much of the block it explains. All templates
+are compared word by word, those that save most first; a template is confirmed if the differences are few and touch none of the
 words that tell licenses apart.
 """
 
@@ -73,7 +73,7 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
 TRIGGER = re.compile(r"licen[cs]|copyright|redistribut|unencumbered|all rights reserved|permission (?:is|to)\b|public domain|creative commons|waived all", re.I)
 TELLING = frozenset("apache mit bsd gnu lesser affero mozilla mpl creative commons cc by nc sa nd sharealike noncommercial noderivatives attribution version v later neither not reserved hereby unencumbered waived".split())
 LEVEL, NEAR, EDGE, WIDE, LONGEST, OVERLAP = 19, 400, 200, 1200, 8000, 3000
-MIN_SAVED, TOP, MAX_DIFF, SHORT = 0.25, 3, 0.1, 40
+MIN_SAVED, MAX_DIFF, SHORT = 0.25, 0.1, 40
 
 _WORD = re.compile(r"<[a-z]+>|[^\W_]+(?:\.[0-9]+)*")
 
@@ -133,10 +133,15 @@ class Scanner:
 
     def confirm(self, template: list[str], words: list[str]) -> tuple[int, int, int] | None:
         """(first, last + 1, differences) if the wording is the template's, but for a few words that tell nothing."""
+        tells = lambda ws: any(w in TELLING or w[0].isdigit() for w in ws)
+        # words that are nowhere in the block are missing however it is aligned: most templates need no alignment
+        here = set(words)
+        absent = [w for w in template if w[0] != "<" and w not in here]
+        if tells(absent) or len(absent) > MAX_DIFF * len(template):
+            return None
         a, b, missing, extra = self.differences(template, words)
         open_ = [w for w in missing if w[0] == "<"]  # what a placeholder stands for, up to eight words each
         missing, free = [w for w in missing if w[0] != "<"], 8 * len(open_)
-        tells = lambda ws: any(w in TELLING or w[0].isdigit() for w in ws)
         if tells(missing) or (not open_ and tells(extra)) or len(missing) + max(0, len(extra) - free) > MAX_DIFF * len(template):
             return None
         return a, b, len(missing) + len(extra)
@@ -157,8 +162,8 @@ class Scanner:
         while words:
             block = text[start + words[0][1] : start + words[-1][2]]
             best = None
-            for saved, k in self.rank(block)[: TOP if len(block) < 2 * NEAR else 4 * TOP]:
-                if saved > 0 and (got := self.confirm(self.templates[k][1], [w for w, _, _ in words])):
+            for saved, k in self.rank(block):  # the ranking orders the work only: any template may be the notice
+                if (got := self.confirm(self.templates[k][1], [w for w, _, _ in words])):
                     # of templates confirmed, the one that explains most words with the fewest differences
                     best = max(best or (-1,), (got[1] - got[0] - got[2], saved, -k, got))
             if best is None:

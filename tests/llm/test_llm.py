@@ -92,6 +92,14 @@ def test_license_templates_find_themselves(spark):
     assert all(text != "" for _, text in license_scan.TEMPLATES)
 
 
+def test_license_notice_that_saves_little_is_found(spark):
+    scanner = license_scan.Scanner()
+    book = "Copyright 2019 Example Press. All rights reserved. No part of this publication may be reproduced, distributed, or transmitted in any form or by any means, including photocopying, recording, or other electronic or mechanical methods, without the prior written permission of the publisher, except in the case of brief quotations."
+    mit = "Released under the MIT License. The software is provided as is, without warranty of any kind, express or implied, including but not limited to the warranties of merchantability, fitness for a particular purpose and noninfringement."
+    assert [g[0] for g in scanner.scan(book)] == ["all-rights-reserved"]
+    assert [g[0] for g in scanner.scan(mit)] == ["MIT"]
+
+
 # 2
 
 
