@@ -115,9 +115,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str
     ends = _ends(split(found, shards, seed))
     shard_of = docs.sparkSession.sql("select inline(from_json('" + json.dumps(ends).replace("\\", "\\\\").replace("'", "\\'") + "', 'array<struct<k:string,ends:array<bigint>>>'))")
     at = at.join(F.broadcast(shard_of), "k", "left")
-    # a draw's number in its source: passes in turn, blocks by their permuted number in each
-    number = lambda p: (p * F.col("blocks") + F.pmod(F.col("turn") + p * 7919, F.col("blocks"))).cast("long")
-    at = at.join(F.broadcast(goal.select("k", "blocks")), "k")
+    # a draw's number in its source: passes in turn, blocks by their permuted number in each, and in the last, partial pass
+    # those drawn one after another; so the numbers are those below the quota, each once
+    drawn = at.groupBy("k", "block").agg(F.max("turn").alias("turn"), F.max("extra").alias("drawn"))
+    drawn = drawn.withColumn("have", F.count("*").over(Window.partitionBy("k"))).withColumn("nth", F.sum("drawn").over(Window.partitionBy("k").orderBy("turn").rowsBetween(Window.unboundedPreceding, 0)) - 1)
+    at = at.join(drawn.select("k", "block", "have", "nth"), ["k", "block"])
+    number = lambda p: F.when(p < F.col("whole"), p * F.col("have") + F.pmod(F.col("turn") + p * 7919, F.col("have"))).otherwise(F.col("whole") * F.col("have") + F.col("nth")).cast("long")
     draws = F.transform(
         F.when(F.col("whole") + F.col("extra") > 0, F.sequence(F.lit(0), (F.col("whole") + F.col("extra") - 1).cast("int"))).otherwise(F.expr("cast(array() as array<int>)")),
         lambda p: F.struct(F.size(F.filter("ends", lambda e: e <= number(p))).alias("shard"), F.xxhash64(F.lit(seed + 3), F.col("id"), F.col("_h"), p).alias("position")),

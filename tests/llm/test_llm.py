@@ -298,6 +298,23 @@ def test_targets_and_takes(spark):
     assert {r.doc_id: r["count"] for r in copies} == {r.doc_id: r.passes for r in got if r.passes}
 
 
+def test_draws_keep_the_shards_quotas(spark):
+    rng = random.Random(8)
+    rows = [(i, " ".join(["w"] * rng.randrange(1, 60)), None, "aab"[i % 3], 0) for i in range(900)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    n = F.when(F.col("source") == "a", 150).otherwise(75)  # blocks of four rows; some hold none
+    block = F.pmod(F.xxhash64(F.lit(mixing.SEED), "doc_id", F.xxhash64("text")), n)
+    at = {r.doc_id: (r.source, r.b) for r in df.select("doc_id", "source", block.alias("b")).collect()}
+    got = mixing.mix(df, block_rows=4).collect()
+    drawn = {(*at[r.doc_id], i): d.shard for r in got for i, d in enumerate(r.draws)}
+    assert all(drawn[(*at[r.doc_id], i)] == d.shard for r in got for i, d in enumerate(r.draws))  # a block's documents stay together
+    assert {len(r.draws) for r in got} >= {1, 2}
+    quotas = {f"s{s}": sum(k[0] == s for k in drawn) for s in "ab"}
+    for shard, want in enumerate(mixing.split(quotas, mixing.SHARDS)):
+        assert {f"s{s}": sum(k[0] == s and v == shard for k, v in drawn.items()) for s in "ab"} == want
+    assert set(drawn.values()) == set(range(mixing.SHARDS))
+
+
 def test_splitting_tree():
     quotas = {"a": 5, "b": 0, "c": 1000, "d": 77}
     got = mixing.split(quotas, 7)
