@@ -15,12 +15,11 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import n_words, pick, store
+from .common import discard, n_words, pick, store
 
 WEIGHTS, CAP = (5, 2, 1), 3
 SHARDS, BLOCK_ROWS, SEED = 16, 256, 11
 MAX_SOURCES = 100_000  # what the tree's table of quotas may hold; more is an error, not a sample
-FILL_ROUNDS = 3
 
 
 def _u(*cols: Column, seed: int) -> Column:
@@ -130,19 +129,35 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str
 
 
 def _fill(at: DataFrame, seed: int) -> DataFrame:
-    """Documents that still fit what the last pass leaves of the target; one at a time for each source, the nearest first.
+    """Documents that still fit what the last pass leaves of the target, until no document brings a source nearer to it.
 
-    What is broadcast has a row for each source.
+    In each round a source's documents are counted anew, without those that are longer than what is left, and are taken
+    while they fit. When none fits, the shortest may exceed the target if that is nearer. What is broadcast has a row for
+    each source; a task sees no more of a source than a block, or a number for each block.
     """
-    for _ in range(FILL_ROUNDS):
-        gap = at.groupBy("k").agg((F.max("rest") - F.sum(F.col("size") * F.col("extra"))).alias("gap"))
-        free = at.where("extra = 0 and size > 0").join(F.broadcast(gap), "k")
-        # a partial minimum for each task: no task sees all of a source
-        better = free.where(F.abs(F.col("gap") - F.col("size")) < F.abs("gap")).groupBy("k").agg(F.min(F.struct(F.abs(F.col("gap") - F.col("size")).alias("d"), "order", "id", "_h")).alias("m"))
-        better = better.select("k", F.col("m.order").alias("_o"), F.col("m.id").alias("_i"), F.col("m._h").alias("_x"))
-        hit = F.col("order").eqNullSafe(F.col("_o")) & F.col("id").eqNullSafe(F.col("_i")) & F.col("_h").eqNullSafe(F.col("_x"))
-        at = at.join(F.broadcast(better), "k", "left").withColumn("extra", F.when(F.col("_o").isNotNull() & hit, 1).otherwise(F.col("extra"))).drop("_o", "_i", "_x")
-    return store(at, "filled")
+    gaps = lambda t: F.broadcast(t.groupBy("k").agg((F.max("rest") - F.sum(F.col("size") * F.col("extra"))).alias("gap")))
+    names, at = at.columns, store(at, "filled")
+    fits = (F.col("extra") == 0) & (F.col("size") > 0) & (F.col("size") <= F.col("gap"))
+    while True:
+        free = at.join(gaps(at), "k").where(fits)
+        if free.isEmpty():
+            break
+        block = free.groupBy("k", "block").agg(F.sum("size").alias("words"), F.first("turn").alias("turn"))
+        upto = Window.partitionBy("k").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
+        block = block.withColumn("before", F.coalesce(F.sum("words").over(upto), F.lit(0))).select("k", "block", "before")
+        # those that don't fit add nothing to the count
+        inside = Window.partitionBy("k", "block").orderBy("order", "id", "_h").rowsBetween(Window.unboundedPreceding, 0)
+        more = at.join(gaps(at), "k").join(block, ["k", "block"], "left").withColumn("upto", F.col("before") + F.sum(F.when(fits, F.col("size")).otherwise(0)).over(inside))
+        last, at = at, store(more.withColumn("extra", F.when(fits & (F.col("upto") <= F.col("gap")), 1).otherwise(F.col("extra"))).select(*names), "filled")
+        discard(last)
+    # a partial minimum for each task: no task sees all of a source
+    free = at.where("extra = 0 and size > 0").join(gaps(at), "k")
+    better = free.where(F.abs(F.col("gap") - F.col("size")) < F.abs("gap")).groupBy("k").agg(F.min(F.struct("size", "order", "id", "_h", "block")).alias("m"))
+    at = at.join(F.broadcast(better), "k", "left")
+    # of rows that are alike in all this, one
+    hit = F.struct("size", "order", "id", "_h", "block").eqNullSafe(F.col("m")) & (F.col("extra") == 0)
+    first = F.row_number().over(Window.partitionBy("k", "block", hit).orderBy("order", "id", "_h")) == 1
+    return store(at.withColumn("extra", F.when(F.col("m").isNotNull() & hit & first, 1).otherwise(F.col("extra"))).select(*names), "filled")
 
 
 def _ends(by_shard: list[dict[str, int]]) -> list[dict]:

@@ -315,6 +315,20 @@ def test_draws_keep_the_shards_quotas(spark):
     assert set(drawn.values()) == set(range(mixing.SHARDS))
 
 
+def test_mix_fills_beside_a_very_long_document(spark):
+    rng = random.Random(9)
+    sizes = [60_000] * 5 + [rng.randrange(20, 200) for _ in range(600)]
+    rows = [(i, "w " * n, None, "a", 0) for i, n in enumerate(sizes)] + [(1000 + i, "w " * 100, None, "b", 0) for i in range(3000)]
+    got = mixing.mix(spark.createDataFrame(rows, SCHEMA), weights=(1, 15), block_rows=16).collect()
+    for s in "ab":
+        mine = [r for r in got if r.source == s]
+        gap = mine[0].target - sum(r.taken for r in mine)
+        least = min(r.passes for r in mine)
+        unused = [r.size for r in mine if r.passes == least]
+        assert not any(abs(gap - n) < abs(gap) for n in unused), (s, gap)
+        assert abs(gap) <= 100, (s, gap)
+
+
 def test_splitting_tree():
     quotas = {"a": 5, "b": 0, "c": 1000, "d": 77}
     got = mixing.split(quotas, 7)
