@@ -15,23 +15,31 @@ HAPLOID = tuple(BASES)
 
 
 def dependent_errors(calls: DataFrame, site: list[str], no_mismatch: float = 0.35, one_mismatch: float = 0.6, floor: float = 0.25) -> DataFrame:
-    """Base calls (site, strand, base, q[, neighbour_mismatch]) with ``e``, their error, and ``e_adj``, the error given that errors come together.
+    """Calls (site, strand, base, q[, neighbour_mismatch]) counted, with ``e``, their error, ``vexp``, the exponent it gets as errors come together, and ``e_adj``, the error given that; ``n`` is how many calls a row stands for.
 
     Within a strand and base, from the best quality down, an error's exponent falls by a factor at each call, to ``floor``
     at least. The factor mixes the two dependence rates by the weight of calls that have a mismatch near them. Equal
-    qualities have equal errors, so their order changes no sum.
+    qualities have equal errors, so they are counted before the window, which runs over distinct qualities, not calls;
+    a call before the floor is a row of its own, and all of a quality that are at the floor are one.
     """
     rows = calls if "neighbour_mismatch" in calls.columns else calls.withColumn("neighbour_mismatch", F.lit(False))
-    rows = rows.where(F.col("q") >= 3).withColumn("e", numeric.error_prob(F.col("q")))
+    rows = rows.where(F.col("q") >= 3).groupBy(*site, "strand", "base", "q").agg(F.count("*").alias("n"), F.count_if("neighbour_mismatch").alias("_near")).withColumn("e", numeric.error_prob(F.col("q")))
     group = Window.partitionBy(*site, "strand", "base")
     weight = math.log(0.75) - F.ln("e")
-    share = F.try_divide(F.sum(F.when(F.col("neighbour_mismatch"), weight).otherwise(0.0)).over(group), F.sum(weight).over(group))
-    fraction = (1 - share) * no_mismatch + share * one_mismatch
-    nth = F.row_number().over(group.orderBy(F.desc("q"))) - 1
-    v = F.greatest(F.lit(floor), F.pow(1 - F.coalesce(fraction, F.lit(no_mismatch)), nth))
+    share = F.try_divide(F.sum(F.col("_near") * weight).over(group), F.sum(F.col("n") * weight).over(group))
+    factor = 1 - F.coalesce((1 - share) * no_mismatch + share * one_mismatch, F.lit(no_mismatch))
+    before = F.coalesce(F.sum("n").over(group.orderBy(F.desc("q")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # the slowest factor reaches the floor after this many calls
+    steps = math.ceil(math.log(floor) / math.log(1 - min(no_mismatch, one_mismatch)))
+    rows = rows.withColumn("_f", factor).withColumn("_nth", before)
+    alone = F.least(F.col("n"), F.greatest(steps - F.col("_nth"), F.lit(0)))
+    each = F.transform(F.when(alone > 0, F.sequence(F.lit(0), (alone - 1).cast("int"))).otherwise(F.expr("cast(array() as array<int>)")), lambda i: F.struct((F.col("_nth") + i).alias("nth"), F.lit(1).cast("long").alias("n")))
+    last = F.when(F.col("n") > alone, F.array(F.struct((F.col("_nth") + alone).alias("nth"), (F.col("n") - alone).alias("n")))).otherwise(F.expr("cast(array() as array<struct<nth:bigint,n:bigint>>)"))
+    rows = rows.select(*site, "strand", "base", "q", "e", "_f", F.explode(F.concat(each, last)).alias("_c")).select("*", F.col("_c.n").alias("n"))
+    v = F.greatest(F.lit(floor), F.pow(F.col("_f"), F.col("_c.nth")))
     power = F.pow(F.col("e"), v)
     g = (1 - power) / (1 - F.col("e"))
-    return rows.withColumn("vexp", v).withColumn("e_adj", F.greatest(F.col("e"), g * power + (1 - g) * 0.75))
+    return rows.select(*site, "strand", "base", "q", "e", "n", v.alias("vexp"), F.greatest(F.col("e"), g * power + (1 - g) * 0.75).alias("e_adj"))
 
 
 def _term(genotype: str, base: Column, e: Column, adj: Column) -> Column:
@@ -43,11 +51,12 @@ def _term(genotype: str, base: Column, e: Column, adj: Column) -> Column:
 
 
 def likelihoods(calls: DataFrame, site: list[str], genotypes: tuple[str, ...] = GENOTYPES) -> DataFrame:
-    """(site, lhood): the log likelihood of each genotype, in order; sums of each task are combined before the shuffle."""
+    """(site, n_calls, lhood): the log likelihood of each genotype, in order, of calls or of counted calls (``n``); sums of each task are combined before the shuffle."""
     e, adj = F.col("e"), F.col("e_adj") if "e_adj" in calls.columns else F.col("e")
+    n = F.col("n") if "n" in calls.columns else F.lit(1)
     # rounded, as sums in another order differ in their last digits, and equal genotypes must tie
-    sums = [F.round(F.sum(_term(g, F.col("base"), e, adj)), 9).alias(f"_{i}") for i, g in enumerate(genotypes)]
-    return calls.where(F.col("base").isin(*BASES)).groupBy(*site).agg(*sums, F.count("*").alias("n_calls")).select(*site, "n_calls", F.array(*(f"_{i}" for i in range(len(genotypes)))).alias("lhood"))
+    sums = [F.round(F.sum(n * _term(g, F.col("base"), e, adj)), 9).alias(f"_{i}") for i, g in enumerate(genotypes)]
+    return calls.where(F.col("base").isin(*BASES)).groupBy(*site).agg(*sums, F.sum(n).alias("n_calls")).select(*site, "n_calls", F.array(*(f"_{i}" for i in range(len(genotypes)))).alias("lhood"))
 
 
 def _priors(ref: Column, table: dict[str, dict[str, float]], genotypes: tuple[str, ...]) -> Column:
@@ -89,11 +98,12 @@ def strand_bias(calls: DataFrame, site: list[str], ref: str, best: DataFrame) ->
     c = F.col
     j = calls.where(c("base").isin(*BASES)).join(best.select(*site, c(ref).alias("_ref"), c("gt").alias("_gt")), site)
     adj = c("e_adj") if "e_adj" in calls.columns else c("e")
+    n = c("n") if "n" in calls.columns else F.lit(1)
     a, b = F.substring("_gt", 1, 1), F.substring("_gt", 2, 1)
     fit = lambda x, y: F.when((x == y) & (c("base") == x), F.log1p(-c("e"))).when((x != y) & ((c("base") == x) | (c("base") == y)), F.ln(1 - c("e") + c("e") / 3) + math.log(0.5)).otherwise(F.ln(adj) + math.log(1 / 3))
     gt, hom = fit(a, b), fit(c("_ref"), c("_ref"))
     fwd = c("strand") == "+"
-    s = j.groupBy(*site).agg(F.sum(gt).alias("_all"), F.sum(F.when(fwd, gt).otherwise(hom)).alias("_f"), F.sum(F.when(fwd, hom).otherwise(gt)).alias("_r"))
+    s = j.groupBy(*site).agg(F.sum(n * gt).alias("_all"), F.sum(n * F.when(fwd, gt).otherwise(hom)).alias("_f"), F.sum(n * F.when(fwd, hom).otherwise(gt)).alias("_r"))
     return s.select(*site, (F.greatest("_f", "_r") - c("_all")).alias("strand_bias"))
 
 

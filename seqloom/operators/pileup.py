@@ -16,22 +16,28 @@ def base_calls(alignments: DataFrame) -> DataFrame:
     """A row for each aligned base and each deleted position: contig_id, segment_id, pos, op, base, q, mapq, reverse, off, ungapped.
 
     M, = and X consume read and reference, D and N the reference, I and S the read; only M-like operations and D come out.
-    Two explodes: operations of a read, then places of an operation.
+    Two explodes (of the outer kind, for which no filter is inferred that would make the arrays twice): operations of a read, each with its own stretch of bases and qualities, then the places of a stretch; the
+    rows of the second carry one base, not the read.
     """
     ops = alignments.select("read_id", "contig_id", "segment_id", "pos", "mapq", "seq", "quals", (F.col("flag").bitwiseAND(REVERSE) != 0).alias("reverse"), seq.is_ungapped(F.col("cigar")).alias("ungapped"), F.explode(seq.op_offsets(F.col("cigar"))).alias("o"))
-    each = ops.where(F.col("o.op").isin("M", "=", "X", "D") & (F.col("o.len") > 0)).select("*", F.explode(F.sequence(F.lit(0), F.col("o.len") - 1)).alias("j"))
-    match, off = F.col("o.op") != "D", F.col("o.q") + F.col("j")
+    ops = ops.where(F.col("o.op").isin("M", "=", "X", "D") & (F.col("o.len") > 0))
+    match = F.col("o.op") != "D"
+    bases = F.split(F.upper(F.substr("seq", F.col("o.q") + 1, F.col("o.len"))), "")
+    calls = F.arrays_zip(bases.alias("b"), F.slice("quals", F.col("o.q") + 1, F.col("o.len")).alias("q"))
+    none = F.array_repeat(F.lit(None).cast("struct<b:string,q:tinyint>"), F.col("o.len"))
+    kept = ops.select("read_id", "contig_id", "segment_id", "mapq", "reverse", "ungapped", (F.col("pos") + F.col("o.r")).alias("at"), F.when(match, F.col("o.q")).alias("first"), F.when(match, calls).otherwise(none).alias("calls"))
+    each = kept.select("read_id", "contig_id", "segment_id", "mapq", "reverse", "ungapped", "at", "first", F.posexplode_outer("calls").alias("j", "c"))
     return each.select(
         "read_id",
         "contig_id",
         "segment_id",
-        (F.col("pos") + F.col("o.r") + F.col("j")).alias("pos"),
-        F.when(match, "M").otherwise("D").alias("op"),
-        F.when(match, F.upper(F.substr("seq", off + 1, F.lit(1)))).alias("base"),
-        F.when(match, F.get("quals", off).cast("int")).alias("q"),
+        (F.col("at") + F.col("j")).alias("pos"),
+        F.when(F.col("first").isNotNull(), "M").otherwise("D").alias("op"),
+        F.col("c.b").alias("base"),
+        F.col("c.q").cast("int").alias("q"),
         "mapq",
         "reverse",
-        F.when(match, off).alias("off"),
+        (F.col("first") + F.col("j")).alias("off"),
         "ungapped",
     )
 

@@ -27,9 +27,10 @@ def extend_to_anchors(regions: DataFrame, anchors: DataFrame) -> DataFrame:
     """Regions widened to the nearest anchor (contig_id, pos) at or before their begin and at or after their end."""
     tag = lambda c, k: regions.select("contig_id", F.col(c).alias("_p"), F.lit(k).alias("_k"), F.struct("begin", "end", "sites").alias("_r"))
     marks = anchors.select("contig_id", F.col("pos").alias("_p"), F.lit(1).alias("_k"), F.col("pos").alias("_a"))
-    back = Window.partitionBy("contig_id").orderBy("_p", "_k")
-    left = tag("begin", 2).unionByName(marks, allowMissingColumns=True).withColumn("_l", F.last("_a", True).over(back.rowsBetween(Window.unboundedPreceding, 0))).where("_k = 2").select("contig_id", "_r", "_l")
-    right = tag("end", 0).unionByName(marks, allowMissingColumns=True).withColumn("_e", F.first("_a", True).over(back.rowsBetween(0, Window.unboundedFollowing))).where("_k = 0").select("contig_id", "_r", "_e")
+    back = Window.partitionBy("contig_id").orderBy("_p", "_k").rowsBetween(Window.unboundedPreceding, 0)
+    ahead = Window.partitionBy("contig_id").orderBy(F.desc("_p"), F.desc("_k")).rowsBetween(Window.unboundedPreceding, 0)
+    left = tag("begin", 2).unionByName(marks, allowMissingColumns=True).withColumn("_l", F.last("_a", True).over(back)).where("_k = 2").select("contig_id", "_r", "_l")
+    right = tag("end", 0).unionByName(marks, allowMissingColumns=True).withColumn("_e", F.last("_a", True).over(ahead)).where("_k = 0").select("contig_id", "_r", "_e")
     return left.join(right, ["contig_id", "_r"]).select("contig_id", F.coalesce("_l", "_r.begin").alias("begin"), F.coalesce("_e", "_r.end").alias("end"), "_r.sites")
 
 

@@ -9,8 +9,6 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import numeric
-
 _CODE = np.full(256, 4, np.uint8)
 for _i, _b in enumerate("ACGT"):
     _CODE[[ord(_b), ord(_b.lower())]] = _i
@@ -69,23 +67,40 @@ def kmers(seq: str, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     for i in range(k):
         fwd |= (c[i : i + n] & np.uint64(3)) << np.uint64(2 * (k - 1 - i))
         rev |= (np.uint64(3) - (c[i : i + n] & np.uint64(3))) << np.uint64(2 * i)
-    bad = np.convolve(c > 3, np.ones(k, int))[k - 1 : k - 1 + n] > 0
-    ok = ~bad & (fwd != rev)
+    other = np.concatenate([[0], np.cumsum(c > 3)])
+    ok = (other[k:] == other[:n]) & (fwd != rev)
     strand = (rev < fwd).astype(np.int8)
     return _hash(np.minimum(fwd, rev), 2 * k)[ok], (np.arange(n) + k - 1)[ok], strand[ok]
 
 
+def minimizers_of(seqs: list[str], k: int, w: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(which sequence, hash, end, strand) of k-mers that are least among some ``w`` consecutive ones of their sequence; equal ones all count.
+
+    The sequences are worked on as one, with a letter between them that no k-mer may hold.
+    """
+    h, end, strand = kmers("N".join(seqs), k)
+    begin = np.cumsum([0] + [len(s) + 1 for s in seqs])
+    of = np.searchsorted(begin, end, "right") - 1
+    keep = np.zeros(len(h), bool)
+    if len(h):
+        first = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
+        size = np.diff(np.append(first, len(h)))
+        # a sequence with fewer k-mers than a window has is one window
+        keep |= (h == np.repeat(np.minimum.reduceat(h, first), size)) & np.repeat(size < w, size)
+    if len(h) >= w:
+        n = len(h) - w + 1
+        least = h[:n].copy()
+        for i in range(1, w):
+            np.minimum(least, h[i : i + n], out=least)
+        inside = of[:n] == of[w - 1 :]
+        for i in range(w):
+            keep[i : i + n] |= inside & (h[i : i + n] == least)
+    return of[keep], h[keep], (end - begin[of])[keep], strand[keep]
+
+
 def minimizers(seq: str, k: int, w: int) -> list[tuple[int, int, int]]:
-    """(hash, end, strand) of k-mers that are least among some ``w`` consecutive ones; equal ones all count."""
-    h, end, strand = kmers(seq, k)
-    if not len(h):
-        return []
-    span = min(w, len(h))
-    least = np.lib.stride_tricks.sliding_window_view(h, span).min(1)
-    # a k-mer is kept if it equals the least of a window that it is in
-    edge = np.concatenate([np.zeros(span - 1, np.uint64), least, np.zeros(span - 1, np.uint64)])
-    keep = (np.lib.stride_tricks.sliding_window_view(edge, span) == h[:, None]).any(1)
-    return list(zip(h[keep].tolist(), end[keep].tolist(), strand[keep].tolist(), strict=True))
+    """(hash, end, strand) of one sequence's minimizers."""
+    return list(zip(*(x.tolist() for x in minimizers_of([seq], k, w)[1:]), strict=True))
 
 
 def sketch(seqs: DataFrame, id_col: str, seq: str, k: int = 15, w: int = 10) -> DataFrame:
@@ -94,8 +109,8 @@ def sketch(seqs: DataFrame, id_col: str, seq: str, k: int = 15, w: int = 10) ->
 
     def go(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
-            rows = [(i, *m) for i, s in zip(pdf.rid, pdf.s, strict=True) for m in minimizers(s or "", k, w)]
-            yield pd.DataFrame(rows, columns=["rid", "hash", "pos", "strand"]).astype({"hash": "int64", "pos": "int32", "strand": "int32"}) if rows else pd.DataFrame({"rid": pdf.rid[:0], "hash": pd.Series(dtype="int64"), "pos": pd.Series(dtype="int32"), "strand": pd.Series(dtype="int32")})
+            of, h, end, strand = minimizers_of(pdf.s.fillna("").tolist(), k, w)
+            yield pd.DataFrame({"rid": pdf.rid.to_numpy()[of], "hash": h.astype(np.int64), "pos": end.astype(np.int32), "strand": strand.astype(np.int32)})
 
     rows = seqs.select(F.col(id_col).alias("rid"), F.col(seq).alias("s"))
     kind = rows.schema["rid"].dataType.simpleString()
@@ -110,7 +125,3 @@ def window_minima(keys: DataFrame, on: list[str], at: str, key: str, w: int) ->
     # the minimum of some full window that holds the row: of those that end here or later, one equals the row's key
     best = full.withColumn("_mins", F.collect_list("_min").over(ahead))
     return best.where(F.array_contains("_mins", F.col(key))).drop("_min", "_mins")
-
-
-def hash_key(key):
-    return numeric.hash64(key)

@@ -111,7 +111,7 @@ dep AS (SELECT *, greatest(e, (1 - pow(e, v)) / (1 - e) * pow(e, v) + (1 - (1 -
 @query("dependent_errors", f"WITH {SQL}, {_DEP} SELECT contig_id, pos, count(*) AS n, round(sum(v), 6) AS vexp, round(sum(e_adj), 6) AS e_adj FROM dep GROUP BY 1, 2")
 def dependent_errors(spark, d):
     dep = genotype.dependent_errors(_calls(spark, d), ["contig_id", "pos"])
-    return dep.groupBy("contig_id", "pos").agg(F.count("*").alias("n"), F.round(F.sum("vexp"), 6).alias("vexp"), F.round(F.sum("e_adj"), 6).alias("e_adj"))
+    return dep.groupBy("contig_id", "pos").agg(F.sum("n").alias("n"), F.round(F.sum(F.col("n") * F.col("vexp")), 6).alias("vexp"), F.round(F.sum(F.col("n") * F.col("e_adj")), 6).alias("e_adj"))
 
 
 def _sql_term(g: str) -> str:

@@ -20,6 +20,10 @@ def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(read_id, contig_id, segment_id, pos, flag, mapq, cigar, seq, quals, src_rank, src_ord) over all texts."""
     letters = F.translate(F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), "[^a-z]", ""), LETTERS, BASES)
     runs = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.regexp_extract_all(letters, F.lit(f".{{1,{LENGTH}}}"), 0)).alias("i", "seq"))
+    # a file of one row group is one task's, however many runs its texts have
+    cores = spark.sparkContext.defaultParallelism
+    if runs.rdd.getNumPartitions() < 2 * cores:
+        runs = runs.repartition(2 * cores, "doc_id", "i")
     h = F.col("doc_id") * 1009 + F.col("i") * 31
     r = runs.select("doc_id", "i", "seq", h.alias("h"), F.length("seq").alias("n"))
     c = F.col
