@@ -306,13 +306,48 @@ def test_draws_keep_the_shards_quotas(spark):
     block = F.pmod(F.xxhash64(F.lit(mixing.SEED), "doc_id", F.xxhash64("text")), n)
     at = {r.doc_id: (r.source, r.b) for r in df.select("doc_id", "source", block.alias("b")).collect()}
     got = mixing.mix(df, block_rows=4).collect()
-    drawn = {(*at[r.doc_id], i): d.shard for r in got for i, d in enumerate(r.draws)}
-    assert all(drawn[(*at[r.doc_id], i)] == d.shard for r in got for i, d in enumerate(r.draws))  # a block's documents stay together
-    assert {len(r.draws) for r in got} >= {1, 2}
-    quotas = {f"s{s}": sum(k[0] == s for k in drawn) for s in "ab"}
-    for shard, want in enumerate(mixing.split(quotas, mixing.SHARDS)):
-        assert {f"s{s}": sum(k[0] == s and v == shard for k, v in drawn.items()) for s in "ab"} == want
-    assert set(drawn.values()) == set(range(mixing.SHARDS))
+    plan = mixing._plan(df.select(F.col("doc_id").alias("id"), "text", "source"), mixing.WEIGHTS, mixing.CAP, None, 4, mixing.SEED)
+    info = {r.k[1:]: r for r in plan.info.collect()}
+    single = {r.id for r in plan.single.collect()}
+    quotas = {f"s{s}": i.whole * i.blocks + i.last + any(at[d][0] == s for d in single) for s, i in info.items()}
+    want = mixing.split(quotas, mixing.SHARDS)
+    ends = {s: np.cumsum([w[f"s{s}"] for w in want]) for s in info}
+    for r in got:
+        s, b = at[r.doc_id]
+        i = info[s]
+        numbers = [p * i.blocks + (b + 7919 * p) % i.blocks for p in range(i.whole)]
+        if b < i.last:
+            numbers.append(i.whole * i.blocks + b)
+        elif r.doc_id in single:
+            numbers.append(i.whole * i.blocks + i.last)
+        assert [d.shard for d in r.draws] == [int(np.searchsorted(ends[s], x, "right")) for x in numbers]
+        assert r.taken == r.size * len(numbers)
+    for s, i in info.items():  # every number below the quota is one block's of one pass: each drawn once
+        numbers = [p * i.blocks + (b + 7919 * p) % i.blocks for p in range(i.whole) for b in range(i.blocks)] + [i.whole * i.blocks + b for b in range(i.last)]
+        assert sorted(numbers) == list(range(quotas[f"s{s}"] - any(at[d][0] == s for d in single)))
+    assert {d.shard for r in got for d in r.draws} <= set(range(mixing.SHARDS))
+
+
+def test_hypergeometric_draws():
+    rng = np.random.default_rng(1)
+    for good, bad, take in ((5, 7, 4), (30, 2, 31), (1, 1, 1), (4, 0, 3), (0, 9, 5)):
+        n = 20_000
+        got = np.bincount([mixing.hypergeometric(rng, good, bad, take) for _ in range(n)], minlength=take + 1) / n
+        for x in range(take + 1):
+            p = math.comb(good, x) * math.comb(bad, take - x) / math.comb(good + bad, take) if x <= good and take - x <= bad else 0
+            assert abs(got[x] - p) < 5 * math.sqrt(p * (1 - p) / n) + 1e-9
+    good, bad, take = 3 * 10**10, 7 * 10**10, 10**10  # beyond what numpy's own sampler takes
+    got = np.array([mixing.hypergeometric(rng, good, bad, take) for _ in range(60)], float)
+    sd = math.sqrt(take * 0.3 * 0.7 * 0.9)
+    assert abs(got.mean() - take * 0.3) < 5 * sd / math.sqrt(60) and 0.6 * sd < got.std() < 1.5 * sd
+
+
+def test_rows_that_share_an_id_are_taken_as_often_as_each_is(spark):
+    rows = [(i // 2, f"w{i} " * (1 + i % 7), None, "ab"[i % 3 == 0], 0) for i in range(400)] + [(900, "x y", None, "a", 0)] * 9
+    df = spark.createDataFrame(rows, SCHEMA)
+    want = sum(r.taken for r in mixing.mix(df, block_rows=8).collect())
+    got = [len(re.findall(WORD, r.text)) for r in mixing.mixed(df, block_rows=8).collect()]
+    assert sum(got) == want
 
 
 def test_mix_fills_beside_a_very_long_document(spark):
