@@ -15,8 +15,11 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-#: Of the filter that spares most rows a shuffle: 4 MB, whatever the input.
-FILTER_BITS = 1 << 25
+#: Of the filter that spares most rows a shuffle: 16 bits for each id, but 128 KB at least and 32 MB at most. Beyond
+#: 2^24 ids it lets more and more rows through that aren't among them; these are shuffled, and results stay the same.
+LEAST_BITS, MOST_BITS, BITS_PER_ID = 1 << 20, 1 << 28, 16
+#: A key with more rows than a hundred-thousandth of all, and than this, is joined in pieces.
+HOT_ROWS, HOT_KEYS = 4096, 100_000
 
 _OWN: list[str] = []
 
@@ -60,12 +63,27 @@ def discard(*tables: DataFrame) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def _mask(ids: DataFrame) -> np.ndarray:
-    """Bits of ``ids`` (id): at most FILTER_BITS in all, whatever their number."""
-    bit = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS)) + 1  # places count from 1
-    bits = ids.select(bit.alias("b")).groupBy(F.bitmap_bucket_number("b").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("m"))
-    mask = np.zeros(FILTER_BITS // 8 + 4096, np.uint8)
-    for r in bits.toLocalIterator():
+def join_hot(left: DataFrame, right: DataFrame, on: list[str], rows: str, total: int, by: str = "id") -> DataFrame:
+    """``left`` joined with ``right``, which has a row for each key and, in ``rows``, how many rows of ``left`` have it.
+
+    A key with many rows is dealt over pieces by a hash of ``by``, each of about the limit below. At most HOT_KEYS keys
+    can be above a HOT_KEYS-th of ``total`` rows, which bounds both what is broadcast and what is repeated.
+    """
+    limit = max(HOT_ROWS, total // HOT_KEYS)
+    pieces = F.ceil(F.col(rows) / limit).cast("int")
+    hot = right.where(F.col(rows) > limit).select(*on, pieces.alias("_pieces"))
+    l = left.join(F.broadcast(hot), on, "left").withColumn("_piece", F.when(F.col("_pieces").isNull(), 0).otherwise(F.pmod(F.xxhash64(by), F.col("_pieces")).cast("int"))).drop("_pieces")
+    r = right.withColumn("_piece", F.explode(F.when(F.col(rows) > limit, F.sequence(F.lit(0), pieces - 1)).otherwise(F.array(F.lit(0)))))
+    return l.join(r, [*on, "_piece"]).drop("_piece")
+
+
+def _mask(ids: DataFrame, bits: int | None = None) -> np.ndarray:
+    """Bits of ``ids`` (id), by their number; at most MOST_BITS."""
+    bits = bits or min(MOST_BITS, max(LEAST_BITS, 1 << (BITS_PER_ID * ids.count()).bit_length()))
+    bit = F.pmod(F.xxhash64("id"), F.lit(bits)) + 1  # places count from 1
+    found = ids.select(bit.alias("b")).groupBy(F.bitmap_bucket_number("b").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("m"))
+    mask = np.zeros(bits // 8, np.uint8)
+    for r in found.toLocalIterator():
         at = (r["k"] - 1) * 4096
         mask[at : at + 4096] |= np.frombuffer(bytes(r["m"]), np.uint8)
     return mask
@@ -74,7 +92,7 @@ def _mask(ids: DataFrame) -> np.ndarray:
 def among(rows: DataFrame, ids: DataFrame | np.ndarray, other: bool = False, then: Callable[[Iterator], Iterator] | None = None, schema: str | None = None, also: tuple[tuple[DataFrame | np.ndarray, bool], ...] = ()) -> DataFrame:
     """The ``rows`` (id, ...) that may be among ``ids`` (id, or their bits): all that are, and few others; with ``other``, the rest, which surely aren't.
 
-    A filter of a fixed size is broadcast, so that most rows need no shuffle to be told apart. ``also`` has further ids,
+    A filter of a bounded size is broadcast, so that most rows need no shuffle to be told apart. ``also`` has further ids,
     and whether rows are to be among them. What is left goes through ``then``, which gives batches of ``schema``, in the
     same Python worker.
     """
@@ -83,9 +101,10 @@ def among(rows: DataFrame, ids: DataFrame | np.ndarray, other: bool = False, the
 
     def passed(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
-            k = b.column(b.num_columns - 1).to_numpy(zero_copy_only=False).astype(np.int64)
-            keep = np.ones(len(k), bool)
+            h = b.column(b.num_columns - 1).to_numpy(zero_copy_only=False).astype(np.int64)
+            keep = np.ones(len(h), bool)
             for mask, want in sent.value:
+                k = h & (8 * len(mask) - 1)
                 keep &= (mask[k >> 3] >> (k & 7).astype(np.uint8) & 1).astype(bool) == want
             if keep.any():
                 yield b.filter(pa.array(keep)).select(b.schema.names[:-1])
@@ -93,8 +112,7 @@ def among(rows: DataFrame, ids: DataFrame | np.ndarray, other: bool = False, the
     def go(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return then(passed(it)) if then else passed(it)
 
-    bit = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
-    return rows.withColumn("_bit", bit).mapInArrow(go, schema or ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields))
+    return rows.withColumn("_hash", F.xxhash64("id")).mapInArrow(go, schema or ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields))
 
 
 def exactly(rows: DataFrame, ids: DataFrame, then: Callable[[Iterator], Iterator], schema: str) -> DataFrame:

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import among, chunks, discard, mix64, pick, store
+from .common import among, chunks, discard, join_hot, mix64, pick, store
 from .graph import components
 
 WORDS, PERCENT = 5, 80
@@ -129,7 +129,8 @@ def _entries(grams: DataFrame, percent: int) -> DataFrame:
     """
     each = _explode(grams)
     df = each.groupBy("t").count().where("count > 1")
-    shared = each.join(df, "t").groupBy("id").agg(F.array_sort(F.collect_list(F.struct(F.col("count").alias("c"), "t"))).alias("g"))
+    total = grams.agg(F.sum(F.length("grams") / 8)).first()[0] or 0
+    shared = join_hot(each, df, ["t"], "count", int(total)).groupBy("id").agg(F.array_sort(F.collect_list(F.struct(F.col("count").alias("c"), "t"))).alias("g"))
     got = shared.join(grams.select("id", "n", "lead", "want"), "id").select("id", "n", "lead", "want", "g")
     limit = _limit(percent)
 
@@ -155,8 +156,8 @@ def _entries(grams: DataFrame, percent: int) -> DataFrame:
 
 def _bundles(entries: DataFrame) -> DataFrame:
     """(id, root): sets that may be similar have one root. As many edges as entries."""
-    hub = entries.groupBy("t", "bucket").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub < last").drop("last")
-    edges = entries.join(hub, ["t", "bucket"]).where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
+    hub = entries.groupBy("t", "bucket").agg(F.min("id").alias("hub"), F.max("id").alias("last"), F.count("*").alias("many")).where("hub < last").drop("last")
+    edges = join_hot(entries, hub, ["t", "bucket"], "many", entries.count()).where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
     return components(edges, "bundles").withColumnRenamed("v", "id")
 
 
@@ -298,18 +299,21 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text: str = "text", words:
     classes = profile.where("n > 0 and id is not null").groupBy("d", "n").agg(F.min("id").alias("rep"), F.count("*").alias("many"))
     classes = store(classes, "classes")
     reps = classes.select(F.col("rep").alias("id"), "n")
+    member = store(join_hot(profile.where("n > 0 and id is not null"), classes, ["d", "n"], "many", profile.count()).select("id", "n", "rep", "many"), "member")
     # rows of classes with copies: those of classes of one row have no need to be told apart
-    copied = profile.where("n > 0 and id is not null").join(classes.where("many > 1").select("d", "n", "rep"), ["d", "n"]).select("id")
-    grams = store(_grams(rows.where("id is not null"), reps, copied, words, percent), "grams")
+    grams = store(_grams(rows.where("id is not null"), reps, member.where("many > 1").select("id"), words, percent), "grams")
     entries = store(_entries(grams, percent), "entries")
     discard(grams)
     links = _links(rows.where("id is not null"), reps, _bundles(entries), words, percent)
     # several texts of one id join their classes
-    same = profile.where("n > 0 and id is not null").join(classes.select("d", "n", "rep"), ["d", "n"]).where("id <> rep").groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b").select("a", "b")
+    same = member.where("id <> rep").groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b").select("a", "b")
     root = components(links.unionByName(same))
-    named = classes.join(root, classes["rep"] == root["v"], "left").select("d", "n", F.coalesce("root", "rep").alias("c"))
-    out = profile.join(named, ["d", "n"], "left")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("c", "id")).otherwise(F.col("id")).alias("component_id"))
+    named = classes.join(root, classes["rep"] == root["v"], "left").select("rep", "many", F.coalesce("root", "rep").alias("component"))
+    # an id may represent several classes, whose rows are then of one component
+    named = named.groupBy("rep").agg(F.min("component").alias("component"), F.sum("many").alias("many"))
+    done = join_hot(member.drop("many"), named, ["rep"], "many", profile.count()).select("id", "n", "component")
+    bare = profile.where("n = 0 or id is null").select("id", "n", F.col("id").alias("component"))
+    return done.unionByName(bare).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
 
 
 def distinct(docs: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
