@@ -557,6 +557,40 @@ def test_validators_context_and_redaction(spark):
     assert r.findings[1].score > pii.PRIOR["iban"]
 
 
+def test_pii_context_on_both_sides_and_lists(spark):
+    cases = {
+        "SSN: 123-45-6789, 234-56-7890": ["ssn:5:16", "ssn:18:29"],
+        "123-45-6789 (SSN)": ["ssn:0:11"],
+        "123-45-6789 is a number": [],
+        "IBAN DE89370400440532013000 BIC COBADEFFXXX": ["iban:5:27"],
+        "GB82 WEST 1234 5698 7654 32 NOW": ["iban:0:27"],
+        "order invoice GB82 WEST 1234 5698 7654 32 NOW": [],  # what surrounds it speaks against it
+        "GB83 WEST 1234 5698 7654 32": [],  # its checksum fails
+        "DNI 12345678Z, X1234567L and 12345678A": ["dni:4:13", "dni:15:24"],
+        "version 12345678Z": [],
+        "2 55 08 14 168 025 38 is her NIR": ["nir:0:21"],
+        "2 55 08 14 168 025 39 is her NIR": [],
+        "Steuer-ID 86 095 742 719": ["steuerid:10:24"],
+        "86 095 742 719": [],
+        "commit 04dbebab91ab85687d33eeaaf9ac699e1188f962": [],
+        'token = "04dbebab91ab85687d33eeaaf9ac699e1188f962"': ["secret:9:49"],
+    }
+    docs = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.report(docs).collect()}
+    for i, (text, want) in enumerate(cases.items()):
+        assert [x for x in got[i].split(",") if x and x.split(":")[0] not in pii.BASE] == want, text
+
+
+def test_pii_text_of_many_matches(spark):
+    n = 6000
+    words = [f"a{i}@b.co" if i % 2 else f"10.0.{i % 200}.{i // 300}" for i in range(n)]
+    docs = spark.createDataFrame([(1, " ".join(words))], "doc_id long, text string")
+    r = pii.report(docs).first()
+    want = base_spans(" ".join(words))
+    assert (r.n_email, r.n_ip) == (n // 2, n // 2) and r.base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in want).encode()).hexdigest()
+    assert pii.redacted(docs).first().text == " ".join("<EMAIL>" if i % 2 else "<IP>" for i in range(n))
+
+
 # all
 
 
