@@ -450,6 +450,56 @@ def test_common_subsequence():
         got = html_extract.common(a, b)
         it = iter(b)
         assert len(got) == best[-1, -1] and got == sorted(set(got)) and all(a[i] in it for i in got)
+    import time
+
+    began = time.time()
+    assert html_extract.common([1] * 10_000 + [2], [1] * 10_000 + [3]) == list(range(10_000))
+    a, b = [3, *[1, 2] * 4000], [4, *[2, 1] * 4000]
+    assert len(html_extract.common(a, b)) == 7999
+    assert time.time() - began < 20
+
+
+def test_markup_of_odd_pages():
+    article, chrome, other = html_extract.ARTICLE, html_extract.CHROME_LINE, html_extract.OTHER
+    for html, want in {
+        '<p title="the hidden lake">Body</p>': [(other, "Body")],
+        '<p data-x="see class=menu here">T</p>': [(other, "T")],
+        "<p title=it's>A</p><p>b</p>": [(other, "A"), (other, "b")],
+        '<p title="abc>x</p><p>y</p>': [(other, "x"), (other, "y")],
+        '<p title=">">in</p>': [(other, "in")],
+        '<div class="has-sidebar"><article>In</article></div>': [(article, "In")],
+        '<article class="comment">c</article>': [(chrome, "c")],
+        '<article><h1>t</h1><div class="related">r</div><p>z</p><article class="comment">cc</article></article>': [(article, "t"), (chrome, "r"), (article, "z"), (chrome, "cc")],
+        '<article><div class="article-header"><h1>T</h1></div><p class="social-history">S</p></article>': [(article, "T"), (article, "S")],
+        '<div class="comments"><article><p>reader</p></article></div>': [(chrome, "reader")],
+        "<article>ok <math>x=1</math></article>": [(article, "ok x=1")],
+        "x < y <3 <b>k</b>": [(other, "x < y <3 k")],
+        "a<!-- b": [(other, "a")],
+        "<ul class=comment-list><li class=comment>no</li></ul>": [(chrome, "no")],
+    }.items():
+        assert html_extract.lines(html) == want, html
+
+
+def test_markup_in_linear_time():
+    import time
+
+    began = time.time()
+    for piece in ("<a ", '<a "', '<p x="', "<a b='", "<!", "<!--", "</", "<p>", "&", "<script>", "<a b=c"):
+        html_extract.lines(piece * (3_000_000 // len(piece)))
+    assert time.time() - began < 120
+
+
+def test_differencing_inside_articles(spark):
+    body = lambda i: f"<article><p>Title {i}</p><p>Share this story</p><p>Text {i}</p><p>More {i}</p></article>"
+    copy = "<article><p>All</p><p>the</p><p>same</p></article>"
+    rows = [(i, f"http://h.example/a/{i}", body(i)) for i in range(3)] + [(10 + i, f"http://c.example/a/{i}", copy) for i in range(3)] + [(20, "http://h.example/a/5", None), (20, "http://h.example/a/5", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = {1: "Title 1\nText 1\nMore 1"} | {10 + i: "All\nthe\nsame" for i in range(3)} | {20: ""}
+    got = html_extract.extract(pages).collect()
+    assert len(got) == len(rows) and all(r.text == want[r.page_id] and r.n_chars == len(r.text) for r in got if r.page_id in want)
+    odd = pages.select("*", F.lit("q").alias("K"), F.lit("x").alias("lines"), F.lit(1).alias("id"))
+    assert sorted(map(str, html_extract.extract(odd).collect())) == sorted(map(str, got))
+    assert html_extract.extract(pages.limit(0)).count() == 0
 
 
 # 8
