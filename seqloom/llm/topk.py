@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import pick
+from .common import discard, pick, store
 
 SCALE, LISTS, QUERY_ROWS, BLOCK = 1024, 4, 4096, 1024
 
@@ -74,6 +74,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "v
                 by_dim.setdefault(len(row["v"]), []).append((row["id"], np.floor(scale * np.array(row["v"], np.float64))))
         for dim, found in sorted(by_dim.items()):
             got = _round(spark, rows, np.array([i for i, _ in found], np.int64), np.stack([v for _, v in found]), dim, k, scale, lists)
+            # a round's result is written, so that the plan doesn't grow with the rounds
+            got = store(got, "round") if rounds > 1 else got
             out = got if out is None else out.unionByName(got)
     if out is None:
         out = spark.createDataFrame([], "query_id long, rank int, id long, score long")
@@ -120,7 +122,7 @@ def _round(spark, rows: DataFrame, qid: np.ndarray, q: np.ndarray, dim: int, k:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in (rows_q, rows_l, rows_i, rows_s)], ["q", "l", "id", "s"])
 
     # id -1 carries a list's least score; ids of real entries come apart by their sign flag
-    local = rows.mapInArrow(_flagged(best), "q long, l int, id long, s long, least boolean")
+    local = store(rows.mapInArrow(_flagged(best), "q long, l int, id long, s long, least boolean"), "lists")
     floor_ = local.where("least").groupBy("q", "l").agg(F.min("s").alias("m"))
     total = floor_.groupBy("q").agg(F.sum("m").alias("m"))
     # repeated ids would add up to a candidate that isn't there: of equal (list, id) only the largest entry counts once, and such ids only in one list
@@ -131,15 +133,25 @@ def _round(spark, rows: DataFrame, qid: np.ndarray, q: np.ndarray, dim: int, k:
     cut = np.full(len(qid), -np.inf)
     for row in kth.select("q", "bound").collect():  # a number for each query of the round
         cut[row["q"]] = row["bound"]
+    discard(local)
     cutoff = spark.sparkContext.broadcast(cut)
 
     def resolve(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Phases 2 and 3 of a task, whose candidates have all their components at hand."""
-        qid, q = asked.value
-        c = cutoff.value
-        share = c[:, None] / len(groups)
+        """Phases 2 and 3 of a task, whose candidates have all their components at hand.
+
+        No candidate of a block can have more of a query than, over the lists, the product of the query's norm and the
+        block's greatest: queries whose cutoff is above that don't meet the block.
+        """
+        every, wanted = asked.value
+        norms = np.stack([np.linalg.norm(wanted[:, g], axis=1) for g in groups], 1)
         keep_q, keep_i, keep_s = [], [], []
         for ids, v in blocks(it):
+            most = np.array([np.linalg.norm(v[:, g], axis=1).max() for g in groups])
+            here = np.flatnonzero(norms @ most * (1 + 1e-9) + 1e-6 >= cutoff.value)
+            if not len(here):
+                continue
+            qid, q, c = every[here], wanted[here], cutoff.value[here]
+            share = c[:, None] / len(groups)
             known, missing, any_ = np.zeros((len(qid), len(ids))), np.zeros((len(qid), len(ids)), np.int16), np.zeros((len(qid), len(ids)), bool)
             for g in groups:
                 s = q[:, g] @ v[:, g].T
@@ -151,15 +163,15 @@ def _round(spark, rows: DataFrame, qid: np.ndarray, q: np.ndarray, dim: int, k:
             a, i = np.nonzero(any_ & (known + least >= c[:, None]) & (qid[:, None] != ids[None]))
             score = np.einsum("ij,ij->i", q[a], v[i])
             ok = score >= c[a]
-            a, i, score = a[ok], ids[i[ok]], score[ok]
+            a, i, score = here[a[ok]], ids[i[ok]], score[ok]
             keep_q.append(a)
             keep_i.append(i)
             keep_s.append(score)
-            if sum(map(len, keep_q)) > 4 * k * len(qid) + 100_000:
+            if sum(map(len, keep_q)) > 4 * k * len(every) + 100_000:
                 keep_q, keep_i, keep_s = ([x] for x in _best(np.concatenate(keep_q), np.concatenate(keep_i), np.concatenate(keep_s), k))
         if keep_q:
             a, i, s = _best(np.concatenate(keep_q), np.concatenate(keep_i), np.concatenate(keep_s), k)
-            yield pa.RecordBatch.from_arrays([pa.array(qid[a]), pa.array(i), pa.array(s.astype(np.int64))], ["query_id", "id", "score"])
+            yield pa.RecordBatch.from_arrays([pa.array(every[a]), pa.array(i), pa.array(s.astype(np.int64))], ["query_id", "id", "score"])
 
     sent = rows.mapInArrow(resolve, "query_id long, id long, score long")
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
