@@ -78,8 +78,14 @@ MIN_SAVED, MAX_DIFF, SHORT = 0.25, 0.1, 40
 _WORD = re.compile(r"<[a-z]+>|[^\W_]+(?:\.[0-9]+)*")
 
 
+#: The number of a list's item, at a line's start or after a clause: no word of the wording.
+_ITEM = re.compile(r"(?:(?:^|\n)[ \t*#/;>-]*+|[:;.,][ \t]++|\b(?:and/or|and|or)[ \t]++)\(?([0-9]{1,2}|[a-d])[.)](?=\s)")
+
+
 def _words(text: str) -> list[tuple[str, int, int]]:
-    return [(m[0].lower(), m.start(), m.end()) for m in _WORD.finditer(text)]
+    """(word in lower case, start, end) of each word but the numbers of a list's items."""
+    items = {m.start(1) for m in _ITEM.finditer(text)}
+    return [(m[0].lower(), m.start(), m.end()) for m in _WORD.finditer(text) if m.start() not in items]
 
 
 def blocks(text: str) -> list[tuple[int, int]]:

@@ -103,6 +103,67 @@ def test_license_notice_that_saves_little_is_found(spark):
 # 2
 
 
+def brute_licenses(text):
+    """The templates that some stretch of words is, but for a tenth of words that tell nothing; of these the one that explains most."""
+    words, best = [w for w, _, _ in license_scan._words(text)], None
+    tells = lambda ws: any(w in license_scan.TELLING or w[0].isdigit() for w in ws)
+    for k, (name, t) in enumerate(license_scan.TEMPLATES):
+        want = [w for w, _, _ in license_scan._words(t)]
+        if any(w[0] == "<" for w in want):
+            continue
+        most = int(license_scan.MAX_DIFF * len(want))
+        for a in range(len(words)):
+            if words[a] not in want[: most + 1]:
+                continue
+            for z in range(a + max(1, len(want) - most), min(len(words), a + len(want) + most) + 1):
+                # lengths of common subsequences, then which words are in none
+                rows = [[0] * (z - a + 1)]
+                for x in want:
+                    last, row = rows[-1], [0]
+                    for j in range(z - a):
+                        row.append(last[j] + 1 if words[a + j] == x else max(last[j + 1], row[j]))
+                    rows.append(row)
+                same = rows[-1][-1]
+                if len(want) + z - a - 2 * same > most:
+                    continue
+                i, j, missing, extra = len(want), z - a, [], []
+                while i or j:
+                    if i and j and want[i - 1] == words[a + j - 1] and rows[i][j] == rows[i - 1][j - 1] + 1:
+                        i, j = i - 1, j - 1
+                    elif i and rows[i][j] == rows[i - 1][j]:
+                        i -= 1
+                        missing.append(want[i])
+                    else:
+                        j -= 1
+                        extra.append(words[a + j])
+                if not tells(missing) and not tells(extra):
+                    best = max(best or (-1,), (same - len(missing) - len(extra), -k, name))
+    return best[2] if best else ""
+
+
+def test_license_scan_against_brute_force(spark):
+    rng = random.Random(3)
+    short = [t for _, t in license_scan.TEMPLATES if "<" not in t and len(t) < 420]
+    texts = []
+    for i in range(24):
+        words = short[i % len(short)].split()
+        for _ in range(i % 4):  # few enough to pass in the longer ones, too many in the shorter ones
+            words[rng.randrange(len(words))] = rng.choice(["zig", "zag", "zog"])
+        noise = [" ".join(rng.choice(["lorem", "ipsum", "dolor"]) for _ in range(rng.randrange(3, 9))) for _ in range(2)]
+        texts.append(f"{noise[0]}.\n{' '.join(words)}\n{noise[1]}.")
+    got = {r.doc_id: r.licenses for r in license_scan.report(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [got[i] for i in range(len(texts))] == [brute_licenses(t) for t in texts]
+    assert len({x for x in got.values() if x}) > 2
+
+
+def test_numbered_license_lists_are_found(spark):
+    name, t = next((n, t) for n, t in license_scan.TEMPLATES if "Redistributions" in t)
+    parts = t.split("Redistributions")
+    texts = [f"Foreword.\n{t}\nEnd.", "Foreword.\n" + parts[0] + "".join(f"\n{i}. Redistributions{x}" for i, x in enumerate(parts[1:], 1)) + "\nEnd.", "Foreword.\n" + parts[0] + "".join(f" ({i}) Redistributions{x}" for i, x in enumerate(parts[1:], 1)) + "\nEnd."]
+    got = {r.doc_id: r.licenses for r in license_scan.report(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == dict.fromkeys(range(3), got[0]) and got[0]
+
+
 def test_lm_against_brute_force(spark):
     rng = random.Random(1)
     texts = ["".join(rng.choice("abcde \n") for _ in range(rng.randrange(0, 60))) for _ in range(30)] + [None, ""]
@@ -489,14 +550,14 @@ def test_markup_in_linear_time():
     assert time.time() - began < 120
 
 
-def test_differencing_inside_articles(spark):
-    body = lambda i: f"<article><p>Title {i}</p><p>Share this story</p><p>Text {i}</p><p>More {i}</p></article>"
-    copy = "<article><p>All</p><p>the</p><p>same</p></article>"
-    rows = [(i, f"http://h.example/a/{i}", body(i)) for i in range(3)] + [(10 + i, f"http://c.example/a/{i}", copy) for i in range(3)] + [(20, "http://h.example/a/5", None), (20, "http://h.example/a/5", None)]
+def test_differencing_beside_and_without_articles(spark):
+    body = lambda i: f"<article><p>Title {i}</p><p>A passage of many articles</p></article>"
+    bare = lambda i: f"<p>Site</p><p>Title {i}</p><p>A passage of many articles</p><p>Imprint</p>"
+    rows = [(i, f"http://h.example/a/{i}", body(i)) for i in range(3)] + [(10 + i, f"http://c.example/a/{i}", bare(i)) for i in range(3)] + [(20, "http://h.example/a/5", None), (20, "http://h.example/a/5", None)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
-    want = {1: "Title 1\nText 1\nMore 1"} | {10 + i: "All\nthe\nsame" for i in range(3)} | {20: ""}
+    want = {i: f"Title {i}\nA passage of many articles" for i in range(3)} | {10 + i: f"Title {i}" for i in range(3)} | {20: ""}
     got = html_extract.extract(pages).collect()
-    assert len(got) == len(rows) and all(r.text == want[r.page_id] and r.n_chars == len(r.text) for r in got if r.page_id in want)
+    assert len(got) == len(rows) and all(r.text == want[r.page_id] and r.n_chars == len(r.text) for r in got)
     odd = pages.select("*", F.lit("q").alias("K"), F.lit("x").alias("lines"), F.lit(1).alias("id"))
     assert sorted(map(str, html_extract.extract(odd).collect())) == sorted(map(str, got))
     assert html_extract.extract(pages.limit(0)).count() == 0
