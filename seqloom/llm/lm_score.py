@@ -15,15 +15,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, exactly, pick, store
+from .common import exactly, pick, store
 
 #: SYMBOLS is the least number of symbols that the uniform distribution is over; a corpus with more has as many as it needs.
 ORDER, SYMBOLS = 4, 48
 HOT = 1 << 20
-_EDGE, _BITS, _HELD = 0x110000, 21, 1 << 21
+_EDGE, _BITS, _HELD = 0x110000, 21, 1 << 20
+#: Characters that are worked on at once: of several texts, or a stretch of one that is longer.
+_PIECE = 1 << 18
 #: Losses are summed as whole multiples of this, so that sums don't depend on their order.
 _UNIT = 1e-8
 
@@ -34,11 +37,21 @@ def _codes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer("".join(low).encode("utf-32-le", "surrogatepass"), np.uint32), np.array([len(t) for t in low], np.int64)
 
 
+def _batches(it: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that their texts, in column ``text``, have about _PIECE characters together, or are one text."""
+    for b in it:
+        size = np.array(pc.utf8_length(b.column(text)).fill_null(0).to_numpy(zero_copy_only=False), np.int64) + ORDER
+        group = np.cumsum(size) // _PIECE
+        cuts = np.flatnonzero(np.diff(group, prepend=-1))
+        for a, z in zip(cuts.tolist(), [*cuts[1:].tolist(), b.num_rows], strict=True):
+            yield b.slice(a, z - a)
+
+
 def _padded(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All texts' code points, each text after ``ORDER`` - 1 edges; which of them are the texts' own; the texts' lengths."""
     codes, n = _codes(texts)
     ends = np.cumsum(n + ORDER - 1)
-    padded = np.full(int(ends[-1]) if len(ends) else 0, _EDGE, np.int64)
+    padded = np.full(int(ends[-1]) if len(ends) else 0, _EDGE, np.int32)
     inside = np.ones(len(padded), bool)
     for i in range(ORDER - 1):  # each text follows its edges
         inside[ends - n - 1 - i] = False
@@ -49,7 +62,7 @@ def _padded(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray
 def _grams(padded: np.ndarray, inside: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """The n-grams that end at ``inside``: by piece, (the ``ORDER`` - 1 symbols before, last symbol, where the distinct
     n-grams begin among the sorted ones, positions sorted by n-gram)."""
-    todo = [(ORDER - 1, len(padded))]
+    todo = [(a, min(a + _PIECE, len(padded))) for a in range(ORDER - 1, len(padded), _PIECE)]
     while todo:
         a, z = todo.pop()
         piece = padded[a - ORDER + 1 : z]
@@ -64,11 +77,12 @@ def _grams(padded: np.ndarray, inside: np.ndarray) -> Iterator[tuple[np.ndarray,
         if bits * ORDER > 63:
             todo += [(a, (a + z) // 2), ((a + z) // 2, z)]
             continue
-        number = np.zeros(_EDGE + 1, np.int64)
+        number = np.zeros(_EDGE + 1, np.int32)
         number[own] = np.arange(len(own))
         numbered, key = number[piece], np.zeros(len(at), np.int64)
         for i in range(ORDER):
-            key = (key << bits) | numbered[at - a + i]
+            key <<= bits
+            key |= numbered[at - a + i]
         order = np.argsort(key)
         key = key[order]
         first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
@@ -95,15 +109,14 @@ def _count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(x[i : i + 100_000]) for x in (before, last, n)], ["before", "last", "n"])
 
     held: list[tuple[np.ndarray, ...]] = []
-    for b in it:
-        for c in chunks([b], 500):
-            padded, inside, _ = _padded(c.column(1).to_pylist())
-            for before, last, first, at in _grams(padded, inside):
-                held.append((before, last, np.diff(np.append(first, len(at)))))
-            if sum(len(x[0]) for x in held) > _HELD:
-                held = [_summed(held)]
-                if len(held[0][0]) > _HELD // 2:
-                    yield from out(*held.pop())
+    for c in _batches(it, 1):
+        padded, inside, _ = _padded(c.column(1).to_pylist())
+        for before, last, first, at in _grams(padded, inside):
+            held.append((before, last, np.diff(np.append(first, len(at)))))
+        if sum(len(x[0]) for x in held) > _HELD:
+            held = [_summed(held)]
+            if len(held[0][0]) > _HELD // 2:
+                yield from out(*held.pop())
     if held:
         yield from out(*_summed(held))
 
@@ -144,7 +157,7 @@ def losses(grams: DataFrame, symbols: int = SYMBOLS) -> DataFrame:
 
 
 class _Table:
-    """N-grams' losses, looked up."""
+    """N-grams' losses, looked up. Made on the driver and broadcast: three sorted arrays."""
 
     def __init__(self, before: np.ndarray, last: np.ndarray, aim: np.ndarray, back: np.ndarray):
         order = np.lexsort((last, before))
@@ -175,25 +188,25 @@ def score(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text:
     grams = store(counts(rows, ids), "grams")
     table = store(losses(grams, symbols), "losses")
     top = table.orderBy(F.desc("back"), "before", "last").limit(hot).toArrow() if (cold := table.count() > hot) else table.toArrow()
-    model = docs.sparkSession.sparkContext.broadcast(tuple(top[c].to_numpy() for c in ("before", "last", "aim_loss", "back_loss")))
+    model = docs.sparkSession.sparkContext.broadcast(_Table(*(top[c].to_numpy() for c in ("before", "last", "aim_loss", "back_loss"))))
     kind = next(f.dataType.simpleString() for f in rows.schema.fields if f.name == "id")
 
     def go(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row for each text, with the sums over the n-grams that the table has, and one for each other n-gram of it."""
-        table = _Table(*model.value)
+        table = model.value
         names = ["row", "id", "n_tokens", "aim_loss", "back_loss", "before", "last"]
-        for b in chunks(it, 500):
+        for b in _batches(it, 2):
             padded, inside, n = _padded(b.column(2).to_pylist())
-            loss, ends, missing = np.zeros((2, len(padded) + 1), np.int64), np.cumsum(n + ORDER - 1), []
+            loss, ends, missing = np.zeros((2, len(n)), np.int64), np.cumsum(n + ORDER - 1), []
             for before, last, first, at in _grams(padded, inside):
                 here, found = table(before, last)
-                which = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(at))))
-                loss[:, at + 1] = found[:, which]
+                which, doc = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(at)))), np.searchsorted(ends, at, "right")
+                for m in range(2):  # whole numbers well below 2**53, so that their sums as doubles are exact
+                    loss[m] += np.bincount(doc, found[m][which], len(n)).astype(np.int64)
                 if not here.all():
                     other = ~here[which]
-                    missing.append((np.searchsorted(ends, at[other], "right"), before[which[other]], last[which[other]]))
-            upto = np.cumsum(loss, axis=1)
-            aim, back = upto[:, ends] - upto[:, ends - n - ORDER + 1]
+                    missing.append((doc[other], before[which[other]], last[which[other]]))
+            aim, back = loss
             none = pa.nulls(len(n), pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n), pa.array(aim), pa.array(back), none, none], names)
             for doc, before, last in missing:
