@@ -317,7 +317,13 @@ def parse_ops(cigar: str) -> list[tuple[int, str]]:
 
 def low_complexity(seq: str, threshold: int = 20, window: int = 64) -> list[tuple[int, int]]:
     """Intervals in which some stretch of at most ``window`` bases repeats its triplets: ten times the number of pairs of
-    equal triplets exceeds ``threshold`` times the number of triplets less one. Overlapping ones are merged."""
+    equal triplets exceeds ``threshold`` times the number of triplets less one. Overlapping ones are merged. Letters other
+    than A, C, G and T end a stretch; what is on their other side starts anew."""
+    runs = re.finditer("[ACGT]+", seq.upper())
+    return [(m.start() + a, m.start() + b) for m in runs for a, b in _repetitive(m[0], threshold, window)]
+
+
+def _repetitive(seq: str, threshold: int, window: int) -> list[tuple[int, int]]:
     found: list[list[int]] = []
     for end in range(3, len(seq) + 1):
         seen: dict[str, int] = {}

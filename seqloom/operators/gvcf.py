@@ -29,7 +29,7 @@ def blocks(sites: DataFrame, contig: str = "contig_id", segment: str = "segment_
     """(contig, segment, begin, end, n, filters, gt, ploidy, min_dp, min_dpf, min_gqx) from compressible sites (pos, dp, dpf, gqx and the columns of SAME).
 
     Sites go in order of position and join the open block if they follow it, have what its sites have in common, and
-    leave its depths and GQX in tolerance; so the result depends on order, and segments are worked through one by one, of bounded size each.
+    leave its depths and GQX in tolerance; a site with a GQX and one without don't share a block. So the result depends on order, and segments are worked through one by one, of bounded size each.
     """
     cols = [contig, segment, "pos", "dp", "dpf", "gqx", *SAME]
     schema = f"{contig} int, {segment} int, begin long, end long, n long, filters string, gt string, ploidy int, min_dp long, min_dpf long, min_gqx double"
@@ -39,9 +39,9 @@ def blocks(sites: DataFrame, contig: str = "contig_id", segment: str = "segment_
         for r in pdf.sort_values("pos", kind="stable").itertuples(index=False):
             same = tuple(getattr(r, c) for c in SAME)
             gqx = None if r.gqx is None or r.gqx != r.gqx else float(r.gqx)
-            if open_ and r.pos == open_["end"] + 1 and same == open_["same"]:
+            if open_ and r.pos == open_["end"] + 1 and same == open_["same"] and (gqx is None) == (open_["gqx"] is None):
                 ranges = [(min(a, v), max(b, v)) for (a, b), v in zip(open_["ranges"], (r.dp, r.dpf), strict=True)]
-                g = open_["gqx"] if gqx is None else (gqx, gqx) if open_["gqx"] is None else (min(open_["gqx"][0], gqx), max(open_["gqx"][1], gqx))
+                g = None if gqx is None else (min(open_["gqx"][0], gqx), max(open_["gqx"][1], gqx))
                 if all(within(a, b, fraction, absolute, divisor) for a, b in [*ranges, *([g] if g else [])]):
                     open_.update(end=r.pos, ranges=ranges, gqx=g)
                     continue

@@ -43,12 +43,12 @@ def depth_prefix_sum(spark, d):
 @query(
     "depth_per_position",
     f"""
-WITH o AS (SELECT o_orderpriority AS k, {D_DAY.format('o_orderdate')} AS s FROM orders WHERE o_totalprice > 300000),
+WITH o AS (SELECT o_orderpriority AS k, {D_DAY.format('o_orderdate')} AS s FROM orders),
 p AS (SELECT k, unnest(range(s, s + 3)) AS pos FROM o)
 SELECT k, pos, count(*) AS depth FROM p GROUP BY k, pos""",
 )
 def depth_per_position(spark, d):
-    o = _orders(spark, d).where("o_totalprice > 300000").select(F.col("o_orderpriority").alias("k"), F.col("day").alias("start"), (F.col("day") + 3).alias("end"))
+    o = _orders(spark, d).select(F.col("o_orderpriority").alias("k"), F.col("day").alias("start"), (F.col("day") + 3).alias("end"))
     return intervals.depth_per_position(o, ["k"])
 
 
@@ -84,7 +84,7 @@ def interval_coalesce_gap(spark, d):
     return intervals.coalesce(_spans(spark, d), ["user_id"], gap=7_200_000_000)
 
 
-_WINDOWS = f"o AS (SELECT o_orderstatus AS l_linestatus, {D_DAY.format('o_orderdate')} AS s, {D_DAY.format('o_orderdate')} + 2 AS t FROM orders WHERE o_totalprice > 490000)"
+_WINDOWS = f"o AS (SELECT o_orderkey AS l_orderkey, {D_DAY.format('o_orderdate')} + 30 AS s, {D_DAY.format('o_orderdate')} + 60 AS t FROM orders)"
 _POINTS = f"l AS (SELECT l_orderkey, l_linenumber, l_linestatus, {D_DAY.format('l_shipdate')} AS pos FROM lineitem)"
 
 
@@ -93,17 +93,17 @@ def _points(spark, d):
 
 
 def _windows(spark, d):
-    return _orders(spark, d).where("o_totalprice > 490000").select(F.col("o_orderstatus").alias("l_linestatus"), F.col("day").alias("begin"), (F.col("day") + 2).alias("end"))
+    return _orders(spark, d).select(F.col("o_orderkey").alias("l_orderkey"), (F.col("day") + 30).alias("begin"), (F.col("day") + 60).alias("end"))
 
 
-@query("interval_semi_join", f"WITH {_WINDOWS}, {_POINTS} SELECT * FROM l WHERE EXISTS (SELECT 1 FROM o WHERE o.l_linestatus = l.l_linestatus AND l.pos BETWEEN o.s AND o.t)")
+@query("interval_semi_join", f"WITH {_WINDOWS}, {_POINTS} SELECT * FROM l WHERE EXISTS (SELECT 1 FROM o WHERE o.l_orderkey = l.l_orderkey AND l.pos BETWEEN o.s AND o.t)")
 def interval_semi_join(spark, d):
-    return intervals.point_in_intervals(_points(spark, d), _windows(spark, d), ["l_linestatus"])
+    return intervals.point_in_intervals(_points(spark, d), _windows(spark, d), ["l_orderkey"])
 
 
-@query("interval_anti_join", f"WITH {_WINDOWS}, {_POINTS} SELECT * FROM l WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.l_linestatus = l.l_linestatus AND l.pos BETWEEN o.s AND o.t)")
+@query("interval_anti_join", f"WITH {_WINDOWS}, {_POINTS} SELECT * FROM l WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.l_orderkey = l.l_orderkey AND l.pos BETWEEN o.s AND o.t)")
 def interval_anti_join(spark, d):
-    return intervals.point_in_intervals(_points(spark, d), _windows(spark, d), ["l_linestatus"], inside=False)
+    return intervals.point_in_intervals(_points(spark, d), _windows(spark, d), ["l_orderkey"], inside=False)
 
 
 _PAIRS = """
@@ -153,14 +153,14 @@ def asof_forward_tol(spark, d):
 @query(
     "mean_span_depth",
     f"""
-WITH o AS (SELECT o_orderstatus AS k, {D_DAY.format('o_orderdate')} AS s, {D_DAY.format('o_orderdate')} + 5 AS t FROM orders WHERE o_totalprice > 400000),
+WITH o AS (SELECT o_custkey AS k, {D_DAY.format('o_orderdate')} AS s, {D_DAY.format('o_orderdate')} + 5 AS t FROM orders),
 m AS (SELECT *, max(t) OVER (PARTITION BY k ORDER BY s, t ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM o),
 i AS (SELECT *, sum(CASE WHEN seen IS NULL OR s > seen + 3 THEN 1 ELSE 0 END) OVER (PARTITION BY k ORDER BY s, t ROWS UNBOUNDED PRECEDING) AS isl FROM m),
 c AS (SELECT k, max(t) - min(s) AS span, sum(t - s) AS bases FROM i GROUP BY k, isl)
 SELECT k, CAST(sum(bases) AS DOUBLE) / sum(span) AS depth FROM c GROUP BY k""",
 )
 def mean_span_depth(spark, d):
-    o = _orders(spark, d).where("o_totalprice > 400000").select(F.col("o_orderstatus").alias("k"), F.col("day").alias("start"), (F.col("day") + 5).alias("end"))
+    o = _orders(spark, d).select(F.col("o_custkey").alias("k"), F.col("day").alias("start"), (F.col("day") + 5).alias("end"))
     return intervals.mean_span_depth(o, ["k"], gap=3)
 
 

@@ -101,13 +101,13 @@ def sam_lines(spark, d):
     return files.sam_lines(r)
 
 
-_GROUPS = f"""o AS (SELECT o_orderkey, o_orderstatus AS k, {D_DAY.format('o_orderdate')} AS b, {D_DAY.format('o_orderdate')} + 4 AS e FROM orders WHERE o_totalprice > 470000),
+_GROUPS = f"""o AS (SELECT o_orderkey, o_custkey AS k, {D_DAY.format('o_orderdate')} AS b, {D_DAY.format('o_orderdate')} + 4 AS e FROM orders),
 m AS (SELECT *, max(e) OVER (PARTITION BY k ORDER BY b, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM o)"""
 
 
 @query("overlap_groups", f"WITH {_GROUPS}, g AS (SELECT o_orderkey, k, b, e, CAST(sum(CASE WHEN seen IS NULL OR b > seen THEN 1 ELSE 0 END) OVER (PARTITION BY k ORDER BY b, e ROWS UNBOUNDED PRECEDING) AS BIGINT) AS g FROM m) SELECT k, g AS \"group\", count(*) AS n, min(b) AS \"begin\", max(e) AS \"end\" FROM g GROUP BY 1, 2")
 def overlap_groups(spark, d):
-    o = table(spark, d, "orders").where("o_totalprice > 470000").withColumn("begin", F.datediff("o_orderdate", F.lit("1970-01-01")).cast("long")).select(F.col("o_orderstatus").alias("k"), "begin", (F.col("begin") + 4).alias("end"))
+    o = table(spark, d, "orders").withColumn("begin", F.datediff("o_orderdate", F.lit("1970-01-01")).cast("long")).select(F.col("o_custkey").alias("k"), "begin", (F.col("begin") + 4).alias("end"))
     return indels.overlap_groups(o, "k").groupBy("k", "group").agg(F.count("*").alias("n"), F.min("begin").alias("begin"), F.max("end").alias("end"))
 
 
@@ -244,3 +244,79 @@ def sliding_windows(spark, d):
 def compressed_depth(spark, d):
     depth = pileup.base_calls(reads(spark, d)).where("op = 'M'").groupBy("contig_id", "pos").agg(F.count("*").alias("depth"))
     return ordered.compressed_histogram(depth, "depth", 3)
+
+
+_PART_BASES = "translate(regexp_replace(upper(p_name), '[^A-Z]', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'ACGTNACGTNACGTNACGTNACGTNN')"
+
+
+def _part_bases():
+    return F.translate(F.regexp_replace(F.upper("p_name"), "[^A-Z]", ""), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "ACGTNACGTNACGTNACGTNACGTNN")
+
+
+@query(
+    "base_codes",
+    f"WITH s AS (SELECT p_partkey, {_PART_BASES} AS s FROM part) SELECT p_partkey, s, instr('ACGT', substr(s, 1, 1)) AS first_place, length(regexp_replace(s, 'N+$', '')) AS forward_left, length(regexp_replace(s, '^N+', '')) AS reverse_left FROM s",
+)
+def base_codes(spark, d):
+    """Places of bases, and what trimming trailing N leaves of either strand."""
+    s = table(spark, d, "part").select("p_partkey", _part_bases().alias("s"))
+    first = seq.base_id(F.substring("s", 1, 1), "ACGT")
+    return s.select("p_partkey", "s", F.when(first == 4, 0).otherwise(first + 1).cast("long").alias("first_place"), seq.rtrim_n(F.col("s"), F.lit(False)).cast("long").alias("forward_left"), seq.rtrim_n(F.col("s"), F.lit(True)).cast("long").alias("reverse_left"))
+
+
+@query(
+    "packed_bases",
+    f"SELECT p_partkey, {_PART_BASES} AS bases FROM part",
+)
+def packed_bases(spark, d):
+    """Bases packed two to a byte and back: a round trip."""
+    s = table(spark, d, "part").select("p_partkey", _part_bases().alias("s"))
+    return s.select("p_partkey", seq.unpack_nibbles(seq.pack_nibbles(F.col("s")), F.length("s")).alias("bases"))
+
+
+@query(
+    "names_and_ids",
+    "SELECT c_custkey, regexp_replace(c_name || '/' || CAST(c_custkey % 3 AS VARCHAR), '/[0-9]$', '') AS pair, regexp_replace(c_name || ' & ' || c_mktsegment, '[^A-Za-z0-9_-]', '_', 'g') AS id FROM customer",
+)
+def names_and_ids(spark, d):
+    """Mates' common names, and texts made safe as identifiers."""
+    c = table(spark, d, "customer")
+    return c.select("c_custkey", seq.read_pair_name(F.concat("c_name", F.lit("/"), (F.col("c_custkey") % 3).cast("string"))).alias("pair"), seq.safe_id(F.concat("c_name", F.lit(" & "), "c_mktsegment")).alias("id"))
+
+
+_ALT = "CASE l_linenumber % 5 WHEN 0 THEN '.' WHEN 1 THEN 'C' WHEN 2 THEN 'AC' WHEN 3 THEN '<DEL>' ELSE 'GT' END"
+
+
+@query(
+    "variant_classes",
+    f"""WITH v AS (SELECT l_orderkey, l_linenumber, CASE l_suppkey % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'C' ELSE 'AC' END AS ref, {_ALT} AS alt FROM lineitem)
+SELECT l_orderkey, l_linenumber, CASE WHEN alt = '.' OR alt = ref THEN 'ref' WHEN alt = '<DEL>' THEN 'other' WHEN length(ref) = 1 AND length(alt) = 1 THEN 'snv' WHEN length(ref) <> length(alt) THEN 'indel' ELSE 'other' END AS class FROM v""",
+)
+def variant_classes(spark, d):
+    n = F.col("l_linenumber") % 5
+    alt = F.when(n == 0, ".").when(n == 1, "C").when(n == 2, "AC").when(n == 3, "<DEL>").otherwise("GT")
+    ref = F.when(F.col("l_suppkey") % 3 == 0, "A").when(F.col("l_suppkey") % 3 == 1, "C").otherwise("AC")
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", seq.variant_class(ref, alt).alias("class"))
+
+
+@query(
+    "shares_and_middles",
+    """SELECT o_orderkey, round(coalesce(o_totalprice / nullif(o_custkey % 4, 0), 0), 6) AS share, round(least(1.0, greatest(0.0, (o_totalprice - 50000) / 200000)), 9) AS scaled,
+  list_sort([o_orderkey % 7, o_custkey % 11, o_orderkey % 5, o_custkey % 3])[3] AS middle FROM orders""",
+)
+def shares_and_middles(spark, d):
+    """Safe ratios, values scaled into 0 to 1, upper medians."""
+    c = F.col
+    xs = F.array(c("o_orderkey") % 7, c("o_custkey") % 11, c("o_orderkey") % 5, c("o_custkey") % 3)
+    return table(spark, d, "orders").select("o_orderkey", F.round(numeric.safe_frac(c("o_totalprice"), c("o_custkey") % 4), 6).alias("share"), F.round(numeric.scale_clamp(c("o_totalprice"), 50000.0, 250000.0), 9).alias("scaled"), numeric.median_upper(xs).alias("middle"))
+
+
+@query(
+    "region_strings",
+    "SELECT s_suppkey, 'c' || s_nationkey AS chrom, CASE WHEN s_suppkey % 3 > 0 THEN s_suppkey * 1000 END AS \"begin\", CASE WHEN s_suppkey % 3 = 2 THEN s_suppkey * 2000 END AS \"end\" FROM supplier",
+)
+def region_strings(spark, d):
+    """Regions written with commas, with and without begin and end, and parsed."""
+    k = F.col("s_suppkey")
+    text = F.concat(F.lit("c"), F.col("s_nationkey").cast("string"), F.when(k % 3 > 0, F.concat(F.lit(":"), F.format_number(k * 1000, 0))).otherwise(""), F.when(k % 3 == 2, F.concat(F.lit("-"), F.format_number(k * 2000, 0))).otherwise(""))
+    return table(spark, d, "supplier").select("s_suppkey", seq.parse_region(text).alias("r")).select("s_suppkey", "r.chrom", "r.begin", "r.end")

@@ -134,3 +134,10 @@ def test_sql_functions(spark):
     r = spark.sql("SELECT phred(0.1D) a, revcomp('AAC') b, genotype_index(1, 2) c, best_alt('A', 0, 2, 1, 3) d, fisher_exact(3, 1, 1, 3) e, safe_frac(1, 0) f").first()
     assert (r.a, r.b, r.c, r.d, r.f) == (10, "GTT", 4, "G", 0) and math.isclose(r.e, 0.4857142857, rel_tol=1e-9)
     assert "binom_upper" in names
+
+
+def test_low_complexity_breaks_at_other_letters():
+    plain = "ACGTTGCATCAG"
+    assert seq.low_complexity(plain + "N" * 30 + plain) == []
+    poly = seq.low_complexity("A" * 40)
+    assert poly == [(0, 40)] and seq.low_complexity("A" * 40 + "N" + "A" * 40) == [(0, 40), (41, 81)]
