@@ -112,46 +112,60 @@ def _grams(rows: DataFrame, reps: DataFrame, copied: DataFrame, n: int, percent:
     return sure.unionByName(maybe)
 
 
-def _explode(grams: DataFrame) -> DataFrame:
+def _explode(grams: DataFrame, percent: int) -> DataFrame:
+    """(t, id, k, over): a row for each n-gram kept, with its set's class of sizes and how many leading n-grams the prefix has no need of."""
+
     def go(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        width = math.log(100 / percent) * 1.001 or 1.0
         for b in chunks(it, 4000):
-            blobs = b.column(1).to_pylist()
-            ids = np.repeat(b.column(0).to_numpy(), [len(x) // 8 for x in blobs])
-            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(blobs), np.int64)), pa.array(ids)], ["t", "id"])
+            blobs = b.column(4).to_pylist()
+            ids, n, lead, want = (b.column(i).to_numpy() for i in range(4))
+            many = [len(x) // 8 for x in blobs]
+            k, over = (np.log(n) / width).astype(np.int32), np.maximum(lead - want, 0)
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(blobs), np.int64)), *(pa.array(np.repeat(x, many)) for x in (ids, k, over))], ["t", "id", "k", "over"])
 
-    return grams.select("id", "grams").mapInArrow(go, "t long, id long")
+    return grams.select("id", "n", "lead", "want", "grams").mapInArrow(go, "t long, id long, k int, over long")
 
 
 def _entries(grams: DataFrame, percent: int) -> DataFrame:
     """(t, bucket, id): each set's prefix without what no other set's prefix can have; sizes in two buckets each.
 
     Sizes whose ratio is within the threshold are in the same bucket or in adjacent ones, so two such sets have a bucket in common.
+    A set's n-grams of no other set count as its first; of the leading ones that it shares, the prefix has the rarest.
     """
-    each = _explode(grams)
+    each = _explode(grams, percent)
     df = each.groupBy("t").count().where("count > 1")
     total = grams.agg(F.sum(F.length("grams") / 8)).first()[0] or 0
-    shared = join_hot(each, df, ["t"], "count", int(total)).groupBy("id").agg(F.array_sort(F.collect_list(F.struct(F.col("count").alias("c"), "t"))).alias("g"))
-    got = shared.join(grams.select("id", "n", "lead", "want"), "id").select("id", "n", "lead", "want", "g")
-    limit = _limit(percent)
+    shared = join_hot(each, df, ["t"], "count", int(total)).select("id", "t", "count", "k", "over")
+    limit = np.uint64(_limit(percent))
+
+    def use(ids: np.ndarray, t: np.ndarray, count: np.ndarray, k: np.ndarray, over: np.ndarray) -> pa.RecordBatch:
+        """The entries of whole sets, whose rows lie side by side."""
+        row = np.cumsum(np.concatenate([[False], ids[1:] != ids[:-1]]))
+        order = np.lexsort((t, count, row))  # rare first
+        ids, t, k, over = ids[order], t[order], k[order], over[order]
+        head = mix64(t.view(np.uint64) ^ np.uint64(0x5BD1E995)) < limit
+        heads = np.bincount(row, head).astype(np.int64)  # of each set
+        before = np.cumsum(head) - head - (np.cumsum(heads) - heads)[row]  # of the same set, before each of its own
+        keep = ~head | (before < (heads[row] - over))
+        ids, t, k = ids[keep], t[keep], k[keep].astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in ((t, t), (k, k + 1), (ids, ids))], ["t", "bucket", "id"])
 
     def go(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        width = math.log(100 / percent) * 1.001
+        held: list[list[np.ndarray]] = []  # batches of one set, which may go on
         for b in it:
-            ids, grams_, buckets = [], [], []
-            for i, n, lead, want, g in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                t = np.array([x["t"] for x in g], np.int64)  # rare first
-                head = mix64(t.view(np.uint64) ^ np.uint64(0x5BD1E995)) < np.uint64(limit)
-                alone = lead - int(head.sum())  # n-grams of no other set come before all
-                use = np.concatenate([t[head][: max(0, min(want, lead) - alone)], t[~head]])
-                k = int(math.log(n) / width)
-                for bucket in (k, k + 1):
-                    ids.append(np.full(len(use), i))
-                    grams_.append(use)
-                    buckets.append(np.full(len(use), bucket))
-            if ids:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in (grams_, buckets, ids)], ["t", "bucket", "id"])
-
-    return got.mapInArrow(go, "t long, bucket long, id long")
+            cols = [c.to_numpy() for c in b.columns]
+            if not b.num_rows:
+                continue
+            if held and held[-1][0][-1] != cols[0][-1]:  # another set begins here
+                at = int(np.searchsorted(cols[0], cols[0][-1]))
+                yield use(*(np.concatenate(x) for x in zip(*held, [c[:at] for c in cols], strict=True)))
+                held, cols = [], [c[at:] for c in cols]
+            held.append(cols)
+        if held:
+            yield use(*(np.concatenate(x) for x in zip(*held, strict=True)))
+
+    return shared.repartition("id").sortWithinPartitions("id").mapInArrow(go, "t long, bucket long, id long")
 
 
 def _bundles(entries: DataFrame) -> DataFrame:
