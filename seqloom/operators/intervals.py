@@ -54,10 +54,14 @@ def point_in_intervals(points: DataFrame, intervals: DataFrame, on: list[str], p
 
 def coalesce(intervals: DataFrame, on: list[str], start: str = "start", end: str = "end", gap: int = 0) -> DataFrame:
     """(on, start, end, n): intervals that overlap, touch, or are at most ``gap`` apart, as one, with how many they were."""
+    return _coalesced(intervals, on, start, end, gap).groupBy(*on, "_island").agg(F.min(start).alias(start), F.max(end).alias(end), F.count("*").alias("n")).drop("_island")
+
+
+def _coalesced(intervals: DataFrame, on: list[str], start: str, end: str, gap: int) -> DataFrame:
+    """``intervals`` with ``_island``, which those share that ``coalesce`` makes one."""
     w = Window.partitionBy(*on).orderBy(start, end)
     seen = F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    island = intervals.withColumn("_new", F.when(seen.isNull() | (F.col(start) > seen + F.lit(gap)), 1).otherwise(0)).withColumn("_island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return island.groupBy(*on, "_island").agg(F.min(start).alias(start), F.max(end).alias(end), F.count("*").alias("n")).drop("_island")
+    return intervals.withColumn("_new", F.when(seen.isNull() | (F.col(start) > seen + F.lit(gap)), 1).otherwise(0)).withColumn("_island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
 
 
 def islands(rows: DataFrame, on: list[str], pos: str = "pos") -> DataFrame:
@@ -111,10 +115,9 @@ def asof_forward(left: DataFrame, right: DataFrame, on: list[str], at: str, tole
 
 
 def mean_span_depth(reads: DataFrame, on: list[str], start: str = "start", end: str = "end", gap: int = 1000) -> DataFrame:
-    """(on, depth): bases over covered span, where a step of more than ``gap`` between reads is not covered."""
-    span = coalesce(reads, on, start, end, gap).groupBy(*on).agg(F.sum(F.col(end) - F.col(start)).alias("_span"))
-    bases = reads.groupBy(*on).agg(F.sum(F.col(end) - F.col(start)).alias("_bases"))
-    return bases.join(span, on).select(*on, F.try_divide(F.col("_bases").cast("double"), "_span").alias("depth"))
+    """(on, depth): bases over covered span, where a step of more than ``gap`` between reads is not covered. A null key is one, too."""
+    island = _coalesced(reads, on, start, end, gap).groupBy(*on, "_island").agg((F.max(end) - F.min(start)).alias("_span"), F.sum(F.col(end) - F.col(start)).alias("_bases"))
+    return island.groupBy(*on).agg(F.try_divide(F.sum("_bases").cast("double"), F.sum("_span")).alias("depth"))
 
 
 def fill_gaps(sites: DataFrame, on: list[str], pos: str = "pos") -> DataFrame:

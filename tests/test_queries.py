@@ -48,3 +48,21 @@ def test_query_without_oracle_runs(spark, sf, name):
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+@pytest.fixture
+def gaps(spark, tmp_path):
+    """Orders without a customer, without a date, and both; none are tied with a date."""
+    c = duckdb.connect()
+    c.sql("create view o as select * from (values (1, 7, '2000-01-01'), (2, 7, '2000-01-20'), (3, 7, null), (4, null, '2000-01-01'), (5, null, '2000-01-03'), (6, null, null), (7, 8, null), (8, 8, null)) t(o_orderkey, o_custkey, o_orderdate)")
+    c.sql(f"copy (select o_orderkey::bigint as o_orderkey, o_custkey::bigint as o_custkey, o_orderdate::timestamp as o_orderdate from o) to '{tmp_path}/orders.parquet' (format parquet)")
+    c.sql(f"create view orders as select * from '{tmp_path}/orders.parquet'")
+    return str(tmp_path), c
+
+
+@pytest.mark.parametrize("name", ["mean_span_depth"])
+def test_orders_without_keys_or_dates(spark, gaps, name):
+    d, c = gaps
+    df, r = registry.QUERIES[name](spark, d), c.sql(registry.ORACLES[name])
+    got = sorted((tuple(plain(x[k]) for k in r.columns) for x in df.collect()), key=str)
+    assert got == sorted((tuple(map(plain, x)) for x in r.fetchall()), key=str)
