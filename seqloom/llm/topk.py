@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from .common import discard, pick, store
 
 SCALE, LISTS, QUERY_ROWS, BLOCK = 1024, 4, 4096, 1024
+#: Queries that meet a block of candidates at a time: scores are a table of QUERY_BLOCK * BLOCK numbers for each list.
+QUERY_BLOCK = 512
 
 
 def _vectors(b: pa.RecordBatch, dim: int | None, scale: int) -> tuple[np.ndarray, np.ndarray]:
@@ -93,33 +95,18 @@ def _round(spark, rows: DataFrame, qid: np.ndarray, q: np.ndarray, dim: int, k:
                     yield ids, v
 
     def best(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Phase 1 of a task: its best bounds, by what its lists' best k show of a candidate."""
         qid, q = asked.value
-        parts = [[] for _ in groups]
-        least = np.full((len(groups), len(qid)), np.inf)
-        for ids, v in blocks(it):
-            p = [q[:, g] @ v[:, g].T for g in groups]
-            own = qid[:, None] == ids[None]
-            for j, s in enumerate(p):
-                least[j] = np.minimum(least[j], s.min(1))
-                at = _top(np.where(own, -np.inf, s), k)
-                seen = np.take_along_axis(own, at, 1)
-                # an entry comes with the candidate's place, so that its entries in several lists meet
-                parts[j].append((ids[at], np.where(seen, -np.inf, np.take_along_axis(s, at, 1))))
-        rows_q, rows_l, rows_i, rows_s = [], [], [], []
-        for j, found in enumerate(parts):
-            if found:
-                i, s = np.concatenate([x for x, _ in found], 1), np.concatenate([x for _, x in found], 1)
-                at = _top(s, k)
-                i, s = np.take_along_axis(i, at, 1), np.take_along_axis(s, at, 1)
-                for a in range(len(qid)):
-                    keep = np.isfinite(s[a])
-                    rows_q.append(np.full(keep.sum() + 1, a))
-                    rows_l.append(np.full(keep.sum() + 1, j))
-                    rows_i.append(np.concatenate([i[a][keep], [-1]]))
-                    rows_s.append(np.concatenate([s[a][keep], [least[j, a]]]))
-        if rows_q:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in (rows_q, rows_l, rows_i, rows_s)], ["q", "l", "id", "s"])
+        found = _lists(blocks(it), qid, q, groups, k)
+        if found is None:
+            return
+        ids, scores, least = found
+        for j in range(len(groups)):
+            # each query's entries, then the list's least score
+            i = np.concatenate([ids[j], np.full((len(qid), 1), -1)], 1)
+            s = np.concatenate([scores[j], least[j][:, None]], 1)
+            keep = np.isfinite(s)
+            a = np.nonzero(keep)[0]
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(np.full(len(a), j)), pa.array(i[keep]), pa.array(s[keep].astype(np.int64))], ["q", "l", "id", "s"])
 
     # id -1 carries a list's least score; ids of real entries come apart by their sign flag
     local = store(rows.mapInArrow(_flagged(best), "q long, l int, id long, s long, least boolean"), "lists")
@@ -137,45 +124,84 @@ def _round(spark, rows: DataFrame, qid: np.ndarray, q: np.ndarray, dim: int, k:
     cutoff = spark.sparkContext.broadcast(cut)
 
     def resolve(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Phases 2 and 3 of a task, whose candidates have all their components at hand.
-
-        No candidate of a block can have more of a query than, over the lists, the product of the query's norm and the
-        block's greatest: queries whose cutoff is above that don't meet the block.
-        """
-        every, wanted = asked.value
-        norms = np.stack([np.linalg.norm(wanted[:, g], axis=1) for g in groups], 1)
-        keep_q, keep_i, keep_s = [], [], []
-        for ids, v in blocks(it):
-            most = np.array([np.linalg.norm(v[:, g], axis=1).max() for g in groups])
-            here = np.flatnonzero(norms @ most * (1 + 1e-9) + 1e-6 >= cutoff.value)
-            if not len(here):
-                continue
-            qid, q, c = every[here], wanted[here], cutoff.value[here]
+        qid, q = asked.value
+        a, i, s = _resolved(blocks(it), qid, q, cutoff.value, groups, k)
+        if len(a):
+            yield pa.RecordBatch.from_arrays([pa.array(qid[a]), pa.array(i), pa.array(s.astype(np.int64))], ["query_id", "id", "score"])
+
+    sent = rows.mapInArrow(resolve, "query_id long, id long, score long")
+    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
+    return sent.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "id", "score")
+
+
+def _lists(blocks: Iterator[tuple[np.ndarray, np.ndarray]], qid: np.ndarray, q: np.ndarray, groups: list[slice], k: int) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray] | None:
+    """Phase 1 of a task: (ids, scores, least) with each list's best k of each query (-inf: none) and its least score; None without rows.
+
+    An entry comes with the candidate's id, so that its entries in several lists meet. Lists are merged block by block:
+    memory follows the queries, not the task's rows.
+    """
+    ids = [np.full((len(qid), k), -1) for _ in groups]
+    scores = [np.full((len(qid), k), -np.inf) for _ in groups]
+    least = np.full((len(groups), len(qid)), np.inf)
+    some = False
+    for at, v in blocks:
+        some = True
+        for lo in range(0, len(qid), QUERY_BLOCK):
+            here = slice(lo, lo + QUERY_BLOCK)
+            own = qid[here, None] == at[None]
+            for j, g in enumerate(groups):
+                s = q[here, g] @ v[:, g].T
+                least[j, here] = np.minimum(least[j, here], s.min(1))
+                s[own] = -np.inf
+                better = lo + np.flatnonzero(s.max(1) > scores[j][here].min(1))  # who has a new entry
+                if not len(better):
+                    continue
+                all_s = np.concatenate([scores[j][better], s[better - lo]], 1)
+                top = _top(all_s, k)
+                held = np.take_along_axis(ids[j][better], np.minimum(top, k - 1), 1)
+                ids[j][better] = np.where(top < k, held, at[np.maximum(top - k, 0)])
+                scores[j][better] = np.take_along_axis(all_s, top, 1)
+    return (ids, scores, least) if some else None
+
+
+def _resolved(blocks: Iterator[tuple[np.ndarray, np.ndarray]], qid: np.ndarray, q: np.ndarray, cutoff: np.ndarray, groups: list[slice], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Phases 2 and 3 of a task, whose candidates have all their components at hand: (query's place, id, score) of each query's best k.
+
+    No candidate of a block can have more of a query than, over the lists, the product of the query's norm and the
+    block's greatest: queries whose cutoff is above that don't meet the block. A cutoff rises to the k-th best score that
+    the task has seen. What is held at a time follows the queries and the size of a block, whatever passes the cutoff.
+    """
+    cut = cutoff.copy()
+    norms = np.stack([np.linalg.norm(q[:, g], axis=1) for g in groups], 1)
+    kept: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    held = 0
+    for ids, v in blocks:
+        most = np.array([np.linalg.norm(v[:, g], axis=1).max() for g in groups])
+        meets = np.flatnonzero(norms @ most * (1 + 1e-9) + 1e-6 >= cut)
+        for lo in range(0, len(meets), QUERY_BLOCK):
+            here = meets[lo : lo + QUERY_BLOCK]
+            c = cut[here]
             share = c[:, None] / len(groups)
-            known, missing, any_ = np.zeros((len(qid), len(ids))), np.zeros((len(qid), len(ids)), np.int16), np.zeros((len(qid), len(ids)), bool)
-            for g in groups:
-                s = q[:, g] @ v[:, g].T
+            parts = [q[here, g] @ v[:, g].T for g in groups]
+            known, missing = np.zeros(parts[0].shape), np.zeros(parts[0].shape, np.int16)
+            for s in parts:
                 sent = s >= share
                 known += np.where(sent, s, 0.0)
                 missing += ~sent
-                any_ |= sent
             least = np.where(missing > 0, np.where(np.isfinite(share), share, 0.0) * missing, 0.0)
-            a, i = np.nonzero(any_ & (known + least >= c[:, None]) & (qid[:, None] != ids[None]))
-            score = np.einsum("ij,ij->i", q[a], v[i])
+            a, i = np.nonzero((missing < len(groups)) & (known + least >= c[:, None]) & (qid[here, None] != ids[None]))
+            # what wasn't collected is looked up for those that remain
+            score = sum(s[a, i] for s in parts)
             ok = score >= c[a]
-            a, i, score = here[a[ok]], ids[i[ok]], score[ok]
-            keep_q.append(a)
-            keep_i.append(i)
-            keep_s.append(score)
-            if sum(map(len, keep_q)) > 4 * k * len(every) + 100_000:
-                keep_q, keep_i, keep_s = ([x] for x in _best(np.concatenate(keep_q), np.concatenate(keep_i), np.concatenate(keep_s), k))
-        if keep_q:
-            a, i, s = _best(np.concatenate(keep_q), np.concatenate(keep_i), np.concatenate(keep_s), k)
-            yield pa.RecordBatch.from_arrays([pa.array(every[a]), pa.array(i), pa.array(s.astype(np.int64))], ["query_id", "id", "score"])
-
-    sent = rows.mapInArrow(resolve, "query_id long, id long, score long")
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    return sent.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "id", "score")
+            kept.append((here[a[ok]], ids[i[ok]], score[ok]))
+            held += len(kept[-1][0])
+            if held > 4 * k * len(qid) + 100_000:
+                kept = [_best(*(np.concatenate(x) for x in zip(*kept, strict=True)), k)]
+                a, _, score = kept[0]
+                held = len(a)
+                last = np.flatnonzero(np.bincount(a, minlength=len(qid))[a] == k)[k - 1 :: k]  # each full query's k-th
+                cut[a[last]] = np.maximum(cut[a[last]], score[last])
+    return _best(*(np.concatenate(x) for x in zip(*kept, strict=True)), k) if kept else (np.empty(0, np.int64),) * 3
 
 
 def _flagged(f):

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import defaultdict
 from html import unescape
@@ -265,6 +266,32 @@ def test_top_k_against_brute_force(spark):
     assert topk.search(few, few, 10).count() == 6
 
 
+def test_top_k_holds_what_follows_the_queries_only():
+    rng = np.random.default_rng(3)
+    q, k = np.floor(1024 * rng.normal(size=(2000, 16))), 10
+    groups, qid = topk._groups(16, 4), np.arange(2000) * 20
+
+    def blocks(n=40):
+        draw = np.random.default_rng(4)
+        return ((np.arange(b * 1024, (b + 1) * 1024), np.floor(1024 * draw.normal(size=(1024, 16)))) for b in range(n))
+
+    tracemalloc.start()
+    ids, scores, least = topk._lists(blocks(), qid, q, groups, k)
+    # a cutoff that everything passes: 40 million pairs, and 2 million in a block
+    a, i, s = topk._resolved(blocks(), qid, q, np.full(2000, -1e12), groups, k)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150e6
+    all_ids, every = (np.concatenate(x) for x in zip(*blocks(), strict=True))
+    for x in range(0, 2000, 97):
+        for j, g in enumerate(groups):
+            part = every[:, g] @ q[x, g]
+            assert least[j, x] == part.min() and sorted(scores[j][x]) == sorted(np.delete(part, qid[x]))[-k:] and all(part[ids[j][x]] == scores[j][x])
+        score = every @ q[x]
+        want = [c for c in np.lexsort((all_ids, -score))[: k + 1] if c != qid[x]][:k]
+        assert i[a == x].tolist() == want and s[a == x].tolist() == score[want].tolist()
+
+
 # 4
 
 
