@@ -7,7 +7,8 @@
 3. Sets that share such an n-gram, and have sizes that allow the similarity, are joined to one hub for each n-gram and
    range of sizes: as many edges as entries, never pairs. The components of this graph are bundles: similar sets are
    in one bundle, and most sets are in none.
-4. A bundle's sets meet in one task, or, if they are many, in a task for each pair of blocks of bounded size. A task
+4. A bundle's sets meet in one task, or, if they are many, in a task for each pair of blocks of bounded size, to which
+   only those sets go that share an n-gram of a prefix with one of the other block. A task
    stores one block in a prefix tree and traverses it once for all sets of the other: sets with a common beginning
    share its overlaps, and a subtree is left as soon as its longest rest can't make up for what is missing.
 5. The links that join something new are kept; their components are the result.
@@ -31,6 +32,7 @@ from .graph import components
 
 WORDS, PERCENT = 5, 80
 BLOCK_SETS, BLOCK_GRAMS = 512, 400_000  # of one side of a task
+FEW_BLOCKS = 32  # an n-gram of more blocks sends its sets by pairs of blocks
 
 
 def shingles(text: str | None, n: int) -> np.ndarray:
@@ -265,21 +267,50 @@ def _join_unit(rows: list[tuple[int, bool, bool, np.ndarray]], percent: int) ->
     return out
 
 
-def _links(rows: DataFrame, reps: DataFrame, bundles: DataFrame, n: int, percent: int) -> DataFrame:
-    """(a, b): links between sets of a bundle, enough of them to join all that are joined."""
-    member = bundles.join(reps.select("id", "n"), "id")
+def _units(member: DataFrame, entries: DataFrame) -> DataFrame:
+    """(id, root, block, o): to which blocks ``o`` of its bundle a set is sent, its own one included.
+
+    A bundle of many sets is cut into blocks of bounded size, like sets side by side: a set's block follows from the
+    least of its entries' n-grams. A set goes where a set is with which it shares an entry, as similar sets do. For
+    n-grams that are in many blocks, those blocks are paired once for all of them, not for each n-gram.
+    """
     whole = member.groupBy("root").agg(F.count("*").alias("g"), F.sum("n").alias("grams"))
     whole = whole.select("root", F.ceil(F.greatest(F.col("g") / BLOCK_SETS, F.col("grams") / BLOCK_GRAMS)).cast("int").alias("blocks"))
-    member = member.join(whole, "root").select("id", "root", "blocks", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"))
+    cut = store(member.join(whole, "root"), "cut")
+    alone = cut.where("blocks = 1").select("id", "root", F.lit(0).alias("block"), F.lit(0).alias("o"))
+    large = cut.where("blocks > 1")
+    keyed = store(large.join(entries.groupBy("id").agg(F.min("t").alias("key")), "id"), "keyed")
+    half = keyed.groupBy("root", "key").agg(F.count("*").alias("many"), F.ceil(F.greatest(2 * F.count("*") / BLOCK_SETS, 2 * F.sum("n") / BLOCK_GRAMS)).alias("parts"))
+    placed = join_hot(keyed, half, ["root", "key"], "many", cut.count())
+    placed = store(placed.select("id", "root", F.pmod(F.xxhash64("key", F.pmod(F.xxhash64("id"), "parts")), "blocks").cast("int").alias("block")), "placed")
+    seen = store(entries.join(placed, "id"), "seen")
+    # an n-gram's sets of one bucket are of one bundle
+    spread = seen.groupBy("t", "bucket", "root", "block").agg(F.count("*").alias("n")).groupBy("t", "bucket", "root").agg(F.sum("n").alias("many"), F.collect_list("block").alias("os"))
+    spread = store(spread.where(F.size("os") > 1), "spread")
+    total = seen.count()
+    few, many = spread.where(F.size("os") <= FEW_BLOCKS), spread.where(F.size("os") > FEW_BLOCKS)
+    cold = join_hot(seen, few.drop("root"), ["t", "bucket"], "many", total).select("id", "root", "block", F.explode("os").alias("o"))
+    pairs = many.select("root", F.explode("os").alias("block"), "os").select("root", "block", F.explode("os").alias("o")).distinct()
+    hot = join_hot(seen, many.select("t", "bucket", "many"), ["t", "bucket"], "many", total).select("id", "root", "block").distinct().join(pairs, ["root", "block"])
+    own = placed.select("id", "root", "block", F.col("block").alias("o"))
+    sent = store(alone.unionByName(cold.unionByName(hot.select("id", "root", "block", "o")).unionByName(own).distinct()), "sent")
+    discard(cut, keyed, placed, seen, spread)
+    return sent
+
+
+def _links(rows: DataFrame, reps: DataFrame, bundles: DataFrame, entries: DataFrame, n: int, percent: int) -> DataFrame:
+    """(a, b): links between sets of a bundle, enough of them to join all that are joined."""
+    member = _units(bundles.join(reps.select("id", "n"), "id"), entries)
+    discard(entries)
 
     def sets(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(it, 500):
             made = [shingles(t, n).tobytes() for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(made, pa.binary())], ["id", "s"])
 
-    got = among(rows, member.select("id"), False, sets, "id long, s binary").dropDuplicates(["id"]).join(member, "id")
+    got = among(rows, member.select("id").distinct(), False, sets, "id long, s binary").dropDuplicates(["id"]).join(member, "id")
     # the unit of blocks i <= j: block i is in the tree, block j probes it
-    unit = got.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("root", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "block", "id", "s")
+    unit = got.select("root", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "block", "id", "s")
     parts = max(8, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     unit = unit.repartition(parts, "root", "i", "j").sortWithinPartitions("root", "i", "j", "id")
 
@@ -318,7 +349,7 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text: str = "text", words:
     grams = store(_grams(rows.where("id is not null"), reps, member.where("many > 1").select("id"), words, percent), "grams")
     entries = store(_entries(grams, percent), "entries")
     discard(grams)
-    links = _links(rows.where("id is not null"), reps, _bundles(entries), words, percent)
+    links = _links(rows.where("id is not null"), reps, _bundles(entries), entries, words, percent)
     # several texts of one id join their classes
     same = member.where("id <> rep").groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b").select("a", "b")
     root = components(links.unionByName(same))

@@ -346,6 +346,29 @@ def test_join_against_brute_force(spark, monkeypatch, k, percent):
     assert got == brute_components(rows, k, percent)
 
 
+def test_join_of_many_blocks_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK_SETS", 8)
+    monkeypatch.setattr(ngram_join, "FEW_BLOCKS", 2)  # so that n-grams' sets go by pairs of blocks, too
+    rng = random.Random(9)
+    base = [f"v{rng.randrange(10**6)}" for _ in range(80)]
+    texts = near_copies(rng, base, 120, 3) + [" ".join(base[i : i + 40]) for i in range(40)]
+    rows = list(enumerate(texts))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.similar(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), words=3, percent=80).collect()}
+    assert got == brute_components(rows, 3, 80)
+
+
+def test_sets_of_a_long_chain_go_to_few_blocks(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK_SETS", 50)
+    n = 2000  # each set shares an n-gram with the next: one bundle of 40 blocks, and 80,000 rows if each set went to all
+    member = spark.range(n).selectExpr("id", "0L as root", "10L as n")
+    entries = ngram_join.store(spark.range(n - 1).selectExpr("explode(array(id, id + 1)) as id", "xxhash64(id) as t", "1L as bucket"), "entries")
+    sent = ngram_join._units(member, entries).collect()
+    assert len(sent) <= 3 * n
+    block, to = {r.id: r.block for r in sent}, {(r.id, r.o) for r in sent}
+    assert len(block) == n and len(set(block.values())) > 20
+    assert all((i, block[j]) in to for i in range(n) for j in (i - 1, i, i + 1) if j in block)
+
+
 def test_distinct_keeps_one_of_each_group(spark, odd):
     kept = ngram_join.distinct(odd, words=3, percent=90)
     assert kept.columns == odd.columns
