@@ -4,8 +4,8 @@ A page becomes lines (its blocks of text), each marked as the article's, as know
 forms, comments and the like) or as neither. Within each host, pages are sorted by URL path; a page's partner is the
 neighbour whose path shares most with its own. Their lines are aligned by longest common subsequence, and a line that
 both share is deleted, unless the markup says that it is the article's: sites repeat passages in articles, too. What is
-left, article or not, is the text; if a page has an article, lines that markup doesn't place stay only if no article
-encloses any text.
+left, in an article or beside it, is the text. Only where no partner tells the lines that markup doesn't place, markup
+decides: they stay if no article encloses any text.
 """
 
 from __future__ import annotations
@@ -189,10 +189,13 @@ def common(a: list[int], b: list[int]) -> list[int]:
     return [*range(first), *reversed(found), *range(len(a) - last, len(a))]
 
 
-def assemble(found: list[tuple[int, str]], gone: set[int]) -> str:
-    """The text: the article's lines; without any, the lines that markup doesn't place and no partner shares."""
-    article = [t for k, t in found if k == ARTICLE]
-    return "\n".join(article or [t for i, (k, t) in enumerate(found) if k == OTHER and i not in gone])
+def assemble(found: list[tuple[int, str]], gone: set[int] | None) -> str:
+    """The text, in page order: the article's lines, and those that markup doesn't place and the partner doesn't share.
+
+    ``gone`` has the places of shared lines. Without a partner it is None: then unplaced lines stay only if there is no article.
+    """
+    alone = gone is None and any(k == ARTICLE for k, _ in found)
+    return "\n".join(t for i, (k, t) in enumerate(found) if k == ARTICLE or (k == OTHER and not alone and i not in (gone or ())))
 
 
 def _near(keys: DataFrame) -> DataFrame:
@@ -253,9 +256,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url: str = "url", html: s
             for k, mine, kinds, theirs in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if mine != theirs and OTHER in kinds:
                     shared = common(np.frombuffer(mine, np.uint64).tolist(), np.frombuffer(theirs, np.uint64).tolist())
-                    if gone := [i for i in shared if kinds[i] == OTHER]:
-                        ks.append(k)
-                        out.append(gone)
+                    ks.append(k)
+                    out.append([i for i in shared if kinds[i] == OTHER])
             yield pa.RecordBatch.from_arrays([pa.array(ks, pa.string()), pa.array(out, pa.list_(pa.int32()))], ["k", "gone"])
 
     gone = store(pairs.mapInArrow(align, "k string, gone array<int>"), "gone")
@@ -264,7 +266,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url: str = "url", html: s
     def text(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(it, 500):
             drop = b.column(3).to_pylist() if b.num_columns > 3 else [None] * b.num_rows
-            made = [assemble(lines(h), set(g or ())) for h, g in zip(b.column(2).to_pylist(), drop, strict=True)]
+            made = [assemble(lines(h), None if g is None else set(g)) for h, g in zip(b.column(2).to_pylist(), drop, strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(made, pa.string())], ["id", "url", "text"])
 
     schema, ids = f"id {kind}, url string, text string", gone.select(F.col("k").alias("id"))
@@ -273,7 +275,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url: str = "url", html: s
     def flat(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return text(pa.RecordBatch.from_arrays(b.column(1).flatten(), ["id", "url", "html"]) for b in it)
 
-    # most pages lose no line to their partner; these aren't shuffled
+    # pages without a partner, or without lines that markup doesn't place, aren't shuffled
     clear = among(by_key, ids, True, flat, schema)
     some = among(by_key, ids).join(gone, F.col("id") == gone["k"], "left").select("row.id", "row.url", "row.html", "gone").mapInArrow(text, schema)
     return clear.unionByName(some).select(F.col("id").alias(id_col), F.col("url").alias(url), "text", F.length("text").cast("long").alias("n_chars"))

@@ -613,6 +613,13 @@ def test_differencing_beside_and_without_articles(spark):
     assert html_extract.extract(pages.limit(0)).count() == 0
 
 
+def test_differencing_decides_lines_beside_an_article(spark):
+    page = lambda i: f"<p>Site</p><p>Lead {i}</p><article><p>Title {i}</p><p>A passage of many articles</p></article><p>Note {i}</p><p>Imprint</p>"
+    rows = [(i, f"http://h.example/a/{i}", page(i)) for i in range(3)] + [(9, "http://alone.example/a/9", page(9))]
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"Lead {i}\nTitle {i}\nA passage of many articles\nNote {i}" for i in range(3)} | {9: "Title 9\nA passage of many articles"}
+
+
 # 8
 
 
