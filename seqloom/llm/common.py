@@ -89,14 +89,30 @@ def _mask(ids: DataFrame, bits: int | None = None) -> np.ndarray:
     return mask
 
 
+def _sieved(rows: DataFrame, masks: list[tuple[np.ndarray, bool]]) -> DataFrame:
+    """The ``rows`` (id, ...) whose bit is as wanted in each of ``masks``. Whole rows stay in Spark: a batch of wide ones, copied to a Python worker and back, takes memory by their width."""
+    out = rows
+    for mask, want in masks:
+        words = pa.array(mask.view("<i8"))
+        parts = pa.ListArray.from_arrays(pa.array(np.arange(0, len(words) + 1, 512, dtype=np.int32)), words)
+        table = rows.sparkSession.createDataFrame(pa.table({"_part": pa.array(np.arange(len(parts)), pa.int64()), "_words": parts}))
+        bit = F.xxhash64("id").bitwiseAND(F.lit(8 * len(mask) - 1))
+        word = F.get("_words", F.shiftright(bit, 6).bitwiseAND(F.lit(511)).cast("int"))
+        found = F.call_function("shiftright", word, bit.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
+        out = out.withColumn("_part", F.shiftright(bit, 15)).join(F.broadcast(table), "_part").where(found if want else ~found).drop("_part", "_words")
+    return out.select(*(f"`{c}`" for c in rows.columns))
+
+
 def among(rows: DataFrame, ids: DataFrame | np.ndarray, other: bool = False, then: Callable[[Iterator], Iterator] | None = None, schema: str | None = None, also: tuple[tuple[DataFrame | np.ndarray, bool], ...] = ()) -> DataFrame:
     """The ``rows`` (id, ...) that may be among ``ids`` (id, or their bits): all that are, and few others; with ``other``, the rest, which surely aren't.
 
     A filter of a bounded size is broadcast, so that most rows need no shuffle to be told apart. ``also`` has further ids,
     and whether rows are to be among them. What is left goes through ``then``, which gives batches of ``schema``, in the
-    same Python worker.
+    same Python worker; without it, no row goes to Python.
     """
     masks = [(x if isinstance(x, np.ndarray) else _mask(x), want) for x, want in ((ids, not other), *also)]
+    if then is None:
+        return _sieved(rows, masks)
     sent = rows.sparkSession.sparkContext.broadcast(masks)
 
     def passed(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,9 +126,9 @@ def among(rows: DataFrame, ids: DataFrame | np.ndarray, other: bool = False, the
                 yield b.filter(pa.array(keep)).select(b.schema.names[:-1])
 
     def go(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return then(passed(it)) if then else passed(it)
+        return then(passed(it))
 
-    return rows.withColumn("_hash", F.xxhash64("id")).mapInArrow(go, schema or ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields))
+    return rows.withColumn("_hash", F.xxhash64("id")).mapInArrow(go, schema)
 
 
 def exactly(rows: DataFrame, ids: DataFrame, then: Callable[[Iterator], Iterator], schema: str) -> DataFrame:

@@ -17,7 +17,7 @@ P = pytest.importorskip("public_tokenizers")
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from seqloom.llm import html_extract, langid, license_scan, lm_score, mixing, ngram_join, packing, pii, quality, queries, topk  # noqa: E402
+from seqloom.llm import common, html_extract, langid, license_scan, lm_score, mixing, ngram_join, packing, pii, quality, queries, topk  # noqa: E402
 
 WORD = r"[^\x20\x09-\x0D]+"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -375,6 +375,31 @@ def test_distinct_keeps_one_of_each_group(spark, odd):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 3, 4, 5, 7, 8, 9, 11]
 
 
+def test_whole_rows_are_told_apart_without_python(spark):
+    rows = spark.range(-3000, 3000).select(F.when(F.col("id") != 0, F.col("id")).alias("id"), F.struct(F.col("id").alias("n"), F.lit("é x").alias("T")).alias("row"))
+    ids = rows.where("id % 7 = 0 or id is null").select("id")
+    mask, other = common._mask(ids), common._mask(rows.where("id % 2 = 0").select("id"))
+
+    def flagged(m):
+        return {r.n: bool(m[r.h >> 3] >> (r.h & 7) & 1) for r in rows.select("row.n", F.xxhash64("id").bitwiseAND(8 * len(m) - 1).alias("h")).collect()}
+
+    one, two = flagged(mask), flagged(other)
+    for out, want in (
+        (common.among(rows, ids), {n for n in one if one[n]}),
+        (common.among(rows, ids, True), {n for n in one if not one[n]}),
+        (common.among(rows, mask, also=((other, False),)), {n for n in one if one[n] and not two[n]}),
+        (common.among(rows, ids.limit(0)), set()),
+        (common.among(rows, common._mask(ids, 1 << 23)), {n for n, x in flagged(common._mask(ids, 1 << 23)).items() if x}),
+    ):
+        assert out.schema == rows.schema and "MapInArrow" not in out._jdf.queryExecution().toString()
+        got = [r.row.n for r in out.collect()]
+        assert len(got) == len(want) and set(got) == want
+    # the part of distinct that keeps rows is no Python's work either
+    docs = spark.createDataFrame([(i, f"word {i} " * 9, i) for i in range(9)] + [(90 + i, f"word {i} " * 9, i) for i in range(9)], "doc_id long, text string, k int")
+    out = ngram_join.distinct(docs)
+    assert "MapInArrow" not in out._jdf.queryExecution().toString() and sorted(r.doc_id for r in out.collect()) == list(range(9))
+
+
 # 5
 
 
